@@ -27,8 +27,9 @@ def parse_timestamp(text: Column) -> Column:
     compact = F.regexp_replace(compact, r"[T ](\d{2})(\d{2})(\d{2})", "T$1:$2:$3")
     compact = F.regexp_replace(compact, r"[T ](\d{2})(\d{2})(?!:)", "T$1:$2")
     iso = F.translate(F.coalesce(extended, compact), ",", ".")
-    # A time of hours alone is completed, as the cast asks for minutes.
+    # The cast wants a time down to the seconds.
     iso = F.regexp_replace(iso, r"([T ]\d{2})(?=$|[Z+-])", "$1:00")
+    iso = F.regexp_replace(iso, r"([T ]\d{2}:\d{2})(?=$|[Z+-])", "$1:00")
     return iso.try_cast("timestamp")
 
 

@@ -17,8 +17,8 @@ def skill_names(skills: Column, of_structs: bool = True) -> Column:
     A null element is skipped, a struct whose name is null stays as null. Pass
     ``of_structs=False`` for an array that holds the names themselves.
     """
-    present = F.filter(skills, lambda s: s.isNotNull())
-    names = F.transform(present, lambda s: s.getField("name")) if of_structs else present
+    present = F.array_compact(skills)
+    names = present.getField("name") if of_structs else present
     return F.coalesce(names, F.array().cast("array<string>"))
 
 
@@ -41,7 +41,8 @@ def detect_skills(text: Column, vocabulary: Sequence[str]) -> Column:
 
     def found(term: str) -> Column:
         quoted = "".join(rf"\x{{{ord(c):x}}}" if not c.isalnum() else c for c in term.lower())
-        pattern = rf"(?<!{_WORD_CHAR}){quoted}(?!{_WORD_CHAR})"
+        # The term comes first: what stands around it is looked at only where it occurs.
+        pattern = rf"{quoted}(?<!{_WORD_CHAR}{quoted})(?!{_WORD_CHAR})"
         return F.when(lowered.contains(term.lower()) & lowered.rlike(pattern), F.lit(term))
 
     if not vocabulary:

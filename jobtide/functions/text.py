@@ -14,8 +14,9 @@ def first_number(text: Column) -> Column:
 
     Sign and fraction are ignored. Null without digits or beyond bigint.
     """
-    digits = F.regexp_extract(F.translate(text, ", ", ""), "([0-9]+)", 1)
-    return F.nullif(digits, F.lit("")).try_cast("bigint")
+    # The separators matter only behind the first digit, so the search can stop there.
+    run = F.regexp_extract(text, "[0-9][0-9, ]*", 0)
+    return F.nullif(F.translate(run, ", ", ""), F.lit("")).try_cast("bigint")
 
 
 def contains_text(text: Column, query: str) -> Column:

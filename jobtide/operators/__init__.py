@@ -35,7 +35,6 @@ from jobtide.operators.validate import (
     newest_first,
     validate_required,
     validate_target,
-    with_reject_reasons,
 )
 
 __all__ = [
@@ -71,6 +70,5 @@ __all__ = [
     "upsert",
     "validate_required",
     "validate_target",
-    "with_reject_reasons",
     "with_salary",
 ]

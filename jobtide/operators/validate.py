@@ -1,6 +1,7 @@
 """Checks a posting has to pass, and what to do with those that fail."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,32 +11,33 @@ from jobtide.operators.keyed import latest_per_key
 from jobtide.schema import KEY, MAX_CITY_CHARS, MAX_ID_CHARS, REQUIRED_KEYS
 
 
-def _violations() -> dict[str, Column]:
+def _rules() -> dict[str, Column]:
     key, title, city = F.col(KEY), F.col("title"), F.col("city")
     return {
-        "id missing": key.isNull(),
-        "id too long": F.length(key) > MAX_ID_CHARS,
-        "title missing": title.isNull(),
-        "city too long": F.length(city) > MAX_CITY_CHARS,
+        "id missing": key.isNotNull(),
+        "id too long": F.length(key) <= MAX_ID_CHARS,
+        "title missing": title.isNotNull(),
+        "city too long": city.isNull() | (F.length(city) <= MAX_CITY_CHARS),
     }
 
 
+def is_valid() -> Column:
+    """Whether the target takes a row. Plain conditions, so null tests reach the scan."""
+    # The length of a missing id is null, but the first rule has failed by then.
+    return reduce(lambda a, b: a & b, _rules().values())
+
+
 def reject_reasons() -> Column:
-    """Array of the limits a stored posting breaks, empty for a valid one."""
+    """Array of the rules a stored posting breaks, empty for a valid one."""
     return F.array_compact(
-        F.array(*[F.when(broken, F.lit(reason)) for reason, broken in _violations().items()])
+        F.array(*[F.when(~rule, F.lit(reason)) for reason, rule in _rules().items()])
     )
 
 
-def with_reject_reasons(df: DataFrame) -> DataFrame:
-    return df.withColumn("reject_reasons", reject_reasons())
-
-
 def validate_target(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into rows the target takes and rows it refuses, with the reasons."""
-    checked = with_reject_reasons(df)
-    valid = F.size("reject_reasons") == 0
-    return checked.where(valid).drop("reject_reasons"), checked.where(~valid)
+    rejected = df.where(~is_valid()).withColumn("reject_reasons", reject_reasons())
+    return df.where(is_valid()), rejected
 
 
 def validate_required(

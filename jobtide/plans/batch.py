@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from jobtide.operators.keyed import OnDuplicate
 from jobtide.operators.normalize import target_columns
-from jobtide.operators.validate import reject_reasons
+from jobtide.operators.validate import is_valid, reject_reasons
 from jobtide.plans.store import ORIGIN, batch_path
 from jobtide.schema import KEY, RATES, TARGET
 from jobtide.sources.raw import Form, parse_records, raw_records, text_reader
@@ -26,16 +26,14 @@ def prepare(
     rows = parse_records(records).select(
         *target_columns(processed_at, rates), *ORIGIN, "record", "parse_error"
     )
-    reasons = F.when(F.col("parse_error").isNull(), reject_reasons()).otherwise(
-        F.array("parse_error")
-    )
-    judged = rows.withColumn("reject_reasons", reasons)
-    ok = F.size("reject_reasons") == 0
-    return judged.select(
+    parsed = F.col("parse_error").isNull()
+    ok = parsed & is_valid()
+    reasons = F.when(parsed, reject_reasons()).otherwise(F.array("parse_error"))
+    return rows.select(
         *TARGET.names,
         *ORIGIN,
         F.when(~ok, F.col("record")).alias("record"),
-        F.when(~ok, F.col("reject_reasons")).alias("reject_reasons"),
+        F.when(~ok, reasons).alias("reject_reasons"),
         F.when(ok, "ok").otherwise("rejected").alias("status"),
     )
 
