@@ -1,0 +1,249 @@
+"""Landing, raw reading and tables."""
+
+import datetime as dt
+import json
+import os
+import time
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from test_operators import nullable, rows, stored
+
+from jobtide import sources as src
+from jobtide.schema import KEY, RAW, TARGET, target_schema
+from jobtide.sources import jdbc
+
+POSTINGS = [
+    {
+        "id": "1",
+        "name": "Инженер",
+        "area": {"name": "Москва", "id": "1"},
+        "salary": {"from": 1, "to": None, "currency": "RUR"},
+        "key_skills": [{"name": "Docker"}],
+        "extra": [1, 2],
+    },
+    {"id": 3},
+    {"id": "4", "salary": {"from": 1.5}},
+    {"id": "5", "key_skills": ["a", "b"]},
+    {"id": "6", "salary": {"from": "100"}},
+    {"id": "7", "salary": {"from": 3_000_000_000}},
+    {"id": "8", "area": []},
+    {"id": "9", "area": None, "name": None},
+    None,
+    5,
+]
+GOOD = [("1", "Инженер", "Москва"), ("3", None, None), ("9", None, None)]
+BAD = ["4", "5", "6", "7", "8", None, None]
+
+
+def good_and_bad(spark, path, form):
+    good, rejected = src.read_raw(spark, str(path), form)
+    assert good.schema == RAW
+    ids = sorted((r[0] for r in rejected.select(F.get_json_object("record", "$.id")).collect()), key=repr)
+    return rows(good, "id", "name", "area.name"), ids
+
+
+def test_array_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(POSTINGS, ensure_ascii=False, indent=2))
+    (tmp_path / "b.json").write_text(json.dumps([{"id": "20"}]))
+    found = good_and_bad(spark, tmp_path, "array")
+    assert found == (sorted([*GOOD, ("20", None, None)], key=repr), sorted(BAD, key=repr))
+
+
+def test_line_files(spark, tmp_path):
+    lines = [json.dumps(p, ensure_ascii=False) for p in POSTINGS]
+    (tmp_path / "a.json").write_text("\n".join([*lines, "", "  "]))
+    assert good_and_bad(spark, tmp_path, "lines") == (GOOD, sorted(BAD, key=repr))
+
+
+def test_a_file_that_is_no_array_is_one_reject(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": "1"}, {"id": ')
+    (tmp_path / "b.json").write_text('[{"id": "2"}]')
+    good, rejected = src.read_raw(spark, str(tmp_path), "array")
+    assert rows(good, "id") == [("2",)]
+    assert rows(rejected, "record", "parse_error") == [
+        ('[{"id": "1"}, {"id": ', "file is not a JSON array")
+    ]
+
+
+def test_missing_path_and_form(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        src.read_raw(spark, str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="form"):
+        src.read_raw(spark, str(tmp_path), "xml")
+
+
+def test_several_paths_are_one_input(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / name).write_text('{"id": "1"}')
+    good, _ = src.read_raw(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert rows(good, "id") == [("1",), ("1",)]
+
+
+def test_land_raw(spark, tmp_path):
+    df = src.from_rows(spark, [{"id": "1", "name": "x"}], RAW)
+    path = src.land_raw(df, str(tmp_path), "20240101_000000")
+    assert path == f"{tmp_path}/run_ts=20240101_000000"
+    assert rows(src.read_raw(spark, path)[0], "id", "name") == [("1", "x")]
+    landed = spark.read.text(path).first()[0]
+    assert set(json.loads(landed)) == set(RAW.names)
+    with pytest.raises(AnalysisException, match="ALREADY_EXISTS"):
+        src.land_raw(df, str(tmp_path), "20240101_000000")
+    assert src.land_raw(df.limit(0), str(tmp_path), "20240102_000000") is None
+    assert not (tmp_path / "run_ts=20240102_000000").exists()
+
+
+def test_latest_batch(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        src.latest_batch(spark, str(tmp_path))
+    now = time.time()
+    for age, name in enumerate(["run_ts=b/1.json", "run_ts=a/1.json", "run_ts=a/2.json"]):
+        file = tmp_path / name
+        file.parent.mkdir(exist_ok=True)
+        file.write_text("[]")
+        os.utime(file, (now - 60 * age, now - 60 * age))
+    assert src.latest_batch(spark, str(tmp_path)).endswith("run_ts=b")
+    assert src.latest_batch(spark, str(tmp_path), "file").endswith("run_ts=b/1.json")
+
+
+def test_from_rows(spark):
+    made = src.from_rows(
+        spark,
+        [{KEY: "test_123456", "title": "t", "salary_rub": 150000, "skills": ["Docker"]}],
+    )
+    assert made.schema == target_schema()
+    assert made.first()["published_date"] is None
+
+
+def test_target_table(spark):
+    src.create_target(spark, "target_a")
+    src.create_target(spark, "target_a")
+    columns = {f.name: f for f in spark.table("target_a").schema}
+    assert list(columns) == TARGET.names
+    assert [c.dataType for c in columns.values()] == [f.dataType for f in TARGET]
+    spark.sql(f"INSERT INTO target_a ({KEY}, title) VALUES ('1', 't')")
+    assert src.read_table(spark, "target_a").first()["processed_at"] is not None
+    spark.sql("DROP TABLE target_a")
+
+
+def test_append_refuses_a_known_key(spark):
+    df = stored(spark, {KEY: "1"}, {KEY: "2"})
+    src.append(df, "appended")
+    src.append(stored(spark, {KEY: "3"}), "appended")
+    for clash in ({KEY: "3"},), ({KEY: "4"}, {KEY: "4"}):
+        with pytest.raises(ValueError, match="already present"):
+            src.append(stored(spark, *clash), "appended")
+    assert rows(spark.table("appended"), KEY) == [("1",), ("2",), ("3",)]
+    src.overwrite(df.limit(1), "appended")
+    assert spark.table("appended").count() == 1
+    with pytest.raises(AnalysisException):
+        src.overwrite(spark.table("appended"), "appended")
+    spark.sql("DROP TABLE appended")
+
+
+def test_staging(spark):
+    df = stored(spark, {KEY: "1"})
+    first, second = src.stage(df), src.stage(df)
+    assert first != second
+    for name in first, second:
+        assert spark.table(name).count() == 1
+        src.drop_staging(spark, name)
+        assert not spark.catalog.tableExists(name)
+        src.drop_staging(spark, name)
+    src.register_view(df, "staged_view")
+    src.register_view(df.limit(0), "staged_view")
+    assert spark.table("staged_view").count() == 0
+    src.drop_staging(spark, "staged_view")
+
+
+def test_publish_switches_the_view(spark):
+    for version, salary in enumerate([1, 2]):
+        df = stored(spark, {KEY: "1", "salary_rub": salary})
+        src.publish(df, "published", version, buckets=2)
+        assert rows(spark.table("published"), "salary_rub") == [(salary,)]
+    assert rows(spark.table("published_v0"), "salary_rub") == [(1,)]
+    spark.sql("DROP VIEW published")
+    for version in range(2):
+        src.drop_staging(spark, f"published_v{version}")
+
+
+def test_clustered_write(spark, tmp_path):
+    path = str(tmp_path / "clustered")
+    df = stored(
+        spark,
+        *[
+            {KEY: str(i), "salary_rub": i, "published_date": dt.date(2024, 1 + i % 2, 1)}
+            for i in range(10)
+        ],
+        {KEY: "none", "published_date": None},
+    )
+    src.clustered_write(df, path)
+    back = spark.read.parquet(path)
+    assert rows(back, *df.columns) == rows(df)
+    january = back.where("published_month = '2024-01'")
+    assert january.count() == 5
+    assert "PartitionFilters: [isnotnull(published_month" in plan(january)
+
+
+def test_preview(spark, capsys):
+    src.preview(stored(spark, {KEY: "x" * 60}), 1)
+    assert "x" * 60 in capsys.readouterr().out
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+class Recorder:
+    """Takes the place of a reader or writer whose database is not here."""
+
+    def __init__(self):
+        self.calls = []
+
+    def jdbc(self, *args, **kwargs):
+        self.calls.append((args, kwargs))
+
+
+class FakeFrame:
+    def __init__(self):
+        self.write = Recorder()
+        self.read = Recorder()
+
+
+def test_jdbc_options():
+    session = FakeFrame()
+    jdbc.read_table(session, "url", "t", {"user": "u"})
+    jdbc.read_table(session, "url", "t", {}, jdbc.Slices("published_date", "2024-01-01", "2024-02-01", 8))
+    jdbc.read_table(session, "url", "t", {}, predicates=["a = 1", "a = 2"])
+    assert session.read.calls == [
+        (("url", "t"), {"properties": {"user": "u"}}),
+        (
+            ("url", "t"),
+            {
+                "column": "published_date",
+                "lowerBound": "2024-01-01",
+                "upperBound": "2024-02-01",
+                "numPartitions": 8,
+                "properties": {},
+            },
+        ),
+        (("url", "t"), {"predicates": ["a = 1", "a = 2"], "properties": {}}),
+    ]
+    with pytest.raises(ValueError, match="not both"):
+        jdbc.read_table(session, "url", "t", {}, jdbc.Slices("a", 0, 1, 2), ["a = 1"])
+    frame = FakeFrame()
+    jdbc.append(frame, "url", "t", {"user": "u"})
+    jdbc.overwrite(frame, "url", "t", {"user": "u"}, connections=4)
+    assert [k for _, k in frame.write.calls] == [
+        {"mode": "append", "properties": {"user": "u", "numPartitions": "8"}},
+        {
+            "mode": "overwrite",
+            "properties": {"user": "u", "numPartitions": "4", "truncate": "true"},
+        },
+    ]
+
+
+def test_nullable_is_a_copy():
+    assert not TARGET[KEY].nullable
+    assert nullable(TARGET)[KEY].nullable
