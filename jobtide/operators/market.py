@@ -23,7 +23,8 @@ def _posting_skills(df: DataFrame) -> DataFrame:
 
 def salary_by_skill(df: DataFrame, skills: Sequence[str] = REPORTED_SKILLS) -> DataFrame:
     """Postings and average salary for each of the named skills."""
-    named = F.filter(F.array_distinct("skills"), lambda s: s.isin(*skills))
+    # The intersection also drops a skill's repetitions within a posting.
+    named = F.array_intersect("skills", F.array(*[F.lit(s) for s in skills]))
     asked = df.select("salary_rub", F.explode(named).alias("skill"))
     total = F.sum(F.col("salary_rub").cast("bigint"))
     paid = F.count("salary_rub")

@@ -20,9 +20,13 @@ def rate_join(raw: DataFrame, rates: DataFrame) -> DataFrame:
 
     ``rates`` holds one rate per currency. No hint: Spark broadcasts it while it
     is below the session's threshold, and otherwise adaptive execution splits the
-    few currencies that every posting shares.
+    few currencies that every posting shares, for which the rates are grouped by
+    a hash too (see ``one_per_key``).
     """
-    known = rates.groupBy(F.upper("currency").alias("_currency")).agg(F.max("rate").alias("_rate"))
+    name = F.upper("currency")
+    known = rates.groupBy(name.alias("_currency"), F.xxhash64(name).alias("_hash")).agg(
+        F.max("rate").alias("_rate")
+    )
     matched = raw.join(known, F.upper("salary.currency") == F.col("_currency"), "left")
     amount = salary_mid(F.col("salary")) * F.coalesce("_rate", F.lit(1.0))
-    return matched.withColumn("salary_rub", whole_roubles(amount)).drop("_currency", "_rate")
+    return matched.withColumn("salary_rub", whole_roubles(amount)).drop("_currency", "_hash", "_rate")

@@ -1,6 +1,7 @@
 """Every query against DuckDB over the same tables."""
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -9,7 +10,7 @@ from conftest import TESTDATA
 
 import __spark_entry__ as entry
 
-SF_DIR = f"{TESTDATA}/sf0.01"
+SF_DIR = os.environ.get("TEST_SF_DIR", f"{TESTDATA}/sf0.01")
 
 
 @pytest.fixture(scope="module")
