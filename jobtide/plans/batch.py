@@ -52,7 +52,13 @@ def write_batch(rows: DataFrame, store: str, batch_id: int) -> dict[str, int]:
         F.count(F.when(ok, F.col("salary_rub"))).alias("with_salary"),
         F.count(F.when(~ok, 1)).alias("rejected"),
     )
-    observed.write.mode("overwrite").partitionBy("status").parquet(batch_path(store, batch_id))
+    (
+        observed.write.mode("overwrite")
+        # Replace the whole batch even in a session that overwrites by partition.
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("status")
+        .parquet(batch_path(store, batch_id))
+    )
     return dict(seen.get)
 
 

@@ -8,6 +8,7 @@ from jobtide.sources.tables import (
     create_target,
     drop_staging,
     from_rows,
+    merge_into,
     overwrite,
     preview,
     publish,
@@ -25,6 +26,7 @@ __all__ = [
     "from_rows",
     "land_raw",
     "latest_batch",
+    "merge_into",
     "newest_batches",
     "overwrite",
     "parse_records",

@@ -1,14 +1,14 @@
 """Target, staging and published tables."""
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobtide.operators.keyed import check_no_clash
+from jobtide.operators.keyed import OnDuplicate, check_no_clash, deduplicate
 from jobtide.schema import KEY, TARGET
 
 
@@ -77,6 +77,23 @@ def save_keyed_table(df: DataFrame, table: str, key: str = KEY, buckets: int = 2
     )
 
 
+def merge_into(
+    source: DataFrame,
+    table: str,
+    key: str = KEY,
+    on_duplicate: OnDuplicate = "error",
+    order_by: Sequence[Column] = (),
+) -> None:
+    """Upsert in place, in one transaction, where the catalog has row-level changes.
+
+    That takes a table format such as Delta or Iceberg; only files with matched
+    rows are rewritten. For plain Parquet use ``upsert`` and ``publish``.
+    """
+    rows = deduplicate(source, key, on_duplicate, order_by).alias("source")
+    matched = F.col(f"{table}.{key}") == F.col(f"source.{key}")
+    rows.mergeInto(table, matched).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def publish(df: DataFrame, name: str, version: int, key: str = KEY, buckets: int = 200) -> str:
     """Write a new version of a table, then point the view ``name`` at it.
 
@@ -102,6 +119,7 @@ def clustered_write(df: DataFrame, path: str, mode: str = "errorifexists") -> No
         .hint("rebalance", "published_month")
         .sortWithinPartitions("published_month", "city", "salary_rub")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "static")
         .partitionBy("published_month")
         .parquet(path)
     )

@@ -6,7 +6,7 @@ import os
 import time
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from test_operators import nullable, rows, stored
 
@@ -168,6 +168,13 @@ def test_publish_switches_the_view(spark):
         src.drop_staging(spark, f"published_v{version}")
 
 
+def test_merge_into_needs_a_table_format(spark):
+    src.create_target(spark, "merged")
+    with pytest.raises(PySparkException, match="MERGE INTO"):
+        src.merge_into(stored(spark, {KEY: "1"}), "merged")
+    spark.sql("DROP TABLE merged")
+
+
 def test_clustered_write(spark, tmp_path):
     path = str(tmp_path / "clustered")
     df = stored(
