@@ -52,7 +52,7 @@ def deduplicate(
     counted = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(*df.columns)).alias("_row")
     )
-    message = F.concat(F.lit("duplicate key: "), F.col(key).cast("string"))
+    message = F.concat(F.lit("duplicate key: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
     unique = F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
     return counted.where(unique).select("_row.*")
 

@@ -66,6 +66,12 @@ def test_normalisation_prunes_columns_and_pushes_filters(spark, tmp_path):
     assert "ReadSchema: struct<salary_rub:int>" in plan(op.processing_stats(df))
 
 
+def test_records_are_parsed_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "1"}')
+    for side in src.read_raw(spark, str(tmp_path)):
+        assert plan(side).count("from_json") == 1
+
+
 def test_limits_are_top_n(spark):
     for name in "read_limit", "cap":
         assert "TakeOrderedAndProject" in plan(entry.queries()[name](spark, SF_DIR))
