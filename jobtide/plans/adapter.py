@@ -95,27 +95,27 @@ def raw_postings(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
     return _complete(df, {name: fields[name]() for name in {"id", *wanted}})
 
 
-def raw_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_revisions(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
     """One raw posting per line item, under the id of its order's posting."""
-    line = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part")
-    df = line.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    wanted = wanted or tuple(RAW.names)
+    df = table(spark, sf_dir, "lineitem")
+    if {"name", "key_skills"} & set(wanted):
+        part = table(spark, sf_dir, "part")
+        df = df.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     currency = (
         F.when(F.col("l_returnflag") == "A", "usd")
         .when(F.col("l_returnflag") == "N", "EUR")
         .otherwise("RUB")
     )
     low = F.floor("l_extendedprice").cast("int")
-    return _complete(
-        df,
-        {
-            "id": posting_id(F.col("l_orderkey")),
-            "name": F.col("p_name"),
-            "salary": _salary(low, F.lit(None).cast("int"), currency),
-            "key_skills": _skills(F.col("p_name")),
-            "published_at": _moment(F.col("l_shipdate")),
-        },
-    )
+    fields = {
+        "id": lambda: posting_id(F.col("l_orderkey")),
+        "name": lambda: F.col("p_name"),
+        "salary": lambda: _salary(low, F.lit(None).cast("int"), currency),
+        "key_skills": lambda: _skills(F.col("p_name")),
+        "published_at": lambda: _moment(F.col("l_shipdate")),
+    }
+    return _complete(df, {n: fields[n]() for n in {"id", *wanted} & set(fields)})
 
 
 def at(day: str) -> Column:
@@ -129,6 +129,7 @@ def postings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return normalize(raw, at("2024-01-01"))
 
 
-def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised revisions, several per id."""
-    return normalize(raw_revisions(spark, sf_dir), at("2024-01-02"))
+def revisions(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Normalised revisions, several per id, with the given columns or all of them."""
+    raw = raw_revisions(spark, sf_dir, *[_FIELD_OF[c] for c in columns])
+    return normalize(raw, at("2024-01-02"))

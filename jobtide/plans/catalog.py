@@ -1,5 +1,6 @@
 """Every operator as a query over the test tables."""
 
+import datetime as dt
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -234,7 +235,7 @@ def append_new(spark, sf_dir):
 @query
 def key_clashes(spark, sf_dir):
     target = postings(spark, sf_dir, "salary_rub")
-    return op.key_clashes(op.delete_where(target), revisions(spark, sf_dir))
+    return op.key_clashes(op.delete_where(target), revisions(spark, sf_dir, "salary_rub"))
 
 
 @query
@@ -440,5 +441,5 @@ def clustered_postings(spark, sf_dir):
     path = scratch(spark)
     columns = (KEY, "city", "salary_rub", "published_date")
     src.clustered_write(postings(spark, sf_dir, *columns[1:]).select(*columns), path)
-    month = spark.read.parquet(path).where("published_month = '2001-07'")
-    return month.select(*columns)
+    days = src.read_days(spark, path, dt.date(2001, 6, 15), dt.date(2001, 7, 14))
+    return days.select(*columns)

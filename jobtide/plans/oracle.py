@@ -266,5 +266,5 @@ ORACLE: dict[str, str] = {
         SELECT vacancy_id, title, city, salary_rub, published_date FROM urgent""",
     "clustered_postings": f"""{POSTINGS}
         SELECT vacancy_id, city, salary_rub, published_date FROM postings
-        WHERE strftime(published_date, '%Y-%m') = '2001-07'""",
+        WHERE published_date BETWEEN DATE '2001-06-15' AND DATE '2001-07-14'""",
 }

@@ -12,6 +12,7 @@ from jobtide.sources.tables import (
     overwrite,
     preview,
     publish,
+    read_days,
     read_table,
     register_view,
     save_keyed_table,
@@ -33,6 +34,7 @@ __all__ = [
     "preview",
     "publish",
     "raw_records",
+    "read_days",
     "read_raw",
     "read_table",
     "register_view",

@@ -1,5 +1,6 @@
 """Target, staging and published tables."""
 
+import datetime as dt
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
@@ -67,7 +68,10 @@ def drop_staging(spark: SparkSession, name: str) -> None:
 
 
 def save_keyed_table(df: DataFrame, table: str, key: str = KEY, buckets: int = 200) -> None:
-    """Write a table bucketed by its key, so an upsert into it shuffles only the batch."""
+    """Write a table bucketed by its key, so an upsert into it shuffles only the batch.
+
+    A bucket is one file and one task: take a number that keeps it near 1 GB.
+    """
     (
         df.repartition(buckets, key)
         .write.mode("errorifexists")
@@ -125,6 +129,18 @@ def clustered_write(df: DataFrame, path: str, mode: str = "errorifexists") -> No
     )
 
 
+def read_days(spark: SparkSession, path: str, first: dt.date, last: dt.date) -> DataFrame:
+    """Postings of a clustered table published from the first to the last day.
+
+    Spark cannot tell from the day which month's directory to read, so both are
+    asked for.
+    """
+    month, day = F.col("published_month"), F.col("published_date")
+    months = month.between(f"{first:%Y-%m}", f"{last:%Y-%m}")
+    df = spark.read.parquet(path)
+    return df.where(months & day.between(F.lit(first), F.lit(last))).drop("published_month")
+
+
 def preview(df: DataFrame, n: int = 10) -> None:
     """Print the first rows in full width."""
     df.show(n, truncate=False)

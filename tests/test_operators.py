@@ -1,6 +1,7 @@
 """Operators on small frames."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -169,6 +170,22 @@ def test_upsert_with_duplicates(spark):
         op.upsert(target, batch, "id", "first")
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_upserts_equal_a_dict(spark, seed):
+    rng = random.Random(seed)
+    model, table = {}, simple(spark, *TARGET_ROWS).where("false")
+    for _ in range(4):
+        batch = [
+            (str(rng.randrange(30)), rng.choice(["a", "b", None]), rng.choice([None, i]))
+            for i in range(rng.randrange(1, 25))
+        ]
+        numbered = [(*row, place) for place, row in enumerate(batch)]
+        df = spark.createDataFrame(numbered, "id string, title string, salary int, place int")
+        table = op.upsert(table, df, "id", "latest", [F.desc("place")])
+        model |= {row[0]: row for row in batch}
+    assert rows(table) == sorted(model.values(), key=repr)
+
+
 def test_upsert_matches_columns_by_name(spark):
     batch = simple(spark, ("2", "B", 7)).select("salary", "id", "title")
     assert rows(op.upsert(simple(spark, ("2", "b", 1)), batch, "id")) == [("2", "B", 7)]

@@ -191,6 +191,11 @@ def test_clustered_write(spark, tmp_path):
     january = back.where("published_month = '2024-01'")
     assert january.count() == 5
     assert "PartitionFilters: [isnotnull(published_month" in plan(january)
+    days = src.read_days(spark, path, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    assert days.columns == df.columns and rows(days) == rows(january, *df.columns)
+    assert "published_month#" in plan(days).split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "GreaterThanOrEqual(published_date,2024-01-01)" in plan(days)
+    assert src.read_days(spark, path, dt.date(2024, 1, 2), dt.date(2024, 2, 1)).count() == 5
 
 
 def test_preview(spark, capsys):
