@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import random
 import re
 
 import pytest
@@ -261,3 +262,20 @@ def test_contains_text(spark):
         T.StringType(),
     )
     assert found == [True, False, None]
+
+
+def test_text_functions_on_random_text(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("<>/ab 12,\n\té&;-", k=rng.randrange(25))) for _ in range(3000)]
+    assert apply(spark, fn.strip_html, texts, T.StringType()) == [
+        re.sub("<[^>]+>", "", t) for t in texts
+    ]
+    numbers = [re.findall("[0-9]+", t.replace(",", "").replace(" ", "")) for t in texts]
+    expected = [int(n[0]) if n and int(n[0]) < 2**63 else None for n in numbers]
+    assert apply(spark, fn.first_number, texts, T.StringType()) == expected
+    lists = [t.split(",") for t in texts]
+    assert apply(spark, fn.format_skills, lists, T.ArrayType(T.StringType())) == [
+        sorted({s.strip() for s in skills if s.strip()}) for skills in lists
+    ]
+    words = [set(re.findall(r"[^\W_]+", t.lower())) for t in texts]
+    assert [set(w) for w in apply(spark, fn.tokens, texts, T.StringType())] == words

@@ -136,3 +136,26 @@ def test_stream(spark, tmp_path, form):
     files = [str(landing / "1.json"), str(landing / "run_ts=x/2.json")]
     process_batch(spark, files, other, 0, form, processed_at=at())
     assert current(spark, other) == expected
+
+
+def test_a_batch_that_failed_after_its_write_is_replaced(spark, tmp_path):
+    landing, store = tmp_path / "landing", str(tmp_path / "store")
+    checkpoint = str(tmp_path / "checkpoint")
+    seen = []
+
+    def ingest(report=None):
+        ingest_new(spark, str(landing), store, checkpoint, processed_at=at(), report=report)
+
+    def crash(number, counts):
+        seen.append((number, counts["total"]))
+        raise RuntimeError("driver lost")
+
+    land(landing, "1.json", posting("1"), {"id": "bad", "salary": 1})
+    with pytest.raises(Exception, match="driver lost"):
+        ingest(crash)
+    # What lands in between belongs to the next batch.
+    land(landing, "2.json", posting("2"))
+    ingest(lambda number, counts: seen.append((number, counts["total"])))
+    assert seen == [(0, 1), (0, 1), (1, 1)]
+    assert current(spark, store) == [("1", "t", None), ("2", "t", None)]
+    assert st.rejects(spark, store).count() == 1
