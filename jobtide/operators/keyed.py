@@ -11,14 +11,20 @@ from jobtide.schema import KEY
 OnDuplicate = Literal["error", "latest"]
 
 
+def _first_of(
+    df: DataFrame, groups: Sequence[str | Column], order_by: Sequence[Column]
+) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order_by))
+    return df.withColumn("_rank", rank).where("_rank <= 1").drop("_rank")
+
+
 def latest_per_key(df: DataFrame, key: str, order_by: Sequence[Column]) -> DataFrame:
     """First row of each key in the given order, which should be total.
 
     Spark turns ``row_number() <= 1`` into a group limit that runs before the
     shuffle too, so a key that fills a third of the table sends one row per task.
     """
-    newest = Window.partitionBy(key).orderBy(*order_by)
-    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank <= 1").drop("_rank")
+    return _first_of(df, [key], order_by)
 
 
 def one_per_key(df: DataFrame, key: str, order_by: Sequence[Column]) -> DataFrame:
@@ -28,8 +34,7 @@ def one_per_key(df: DataFrame, key: str, order_by: Sequence[Column]) -> DataFram
     the join cannot reuse. The join then shuffles these rows itself, which is the
     plan in which adaptive execution splits a hot key of the left side.
     """
-    newest = Window.partitionBy(key, F.xxhash64(key)).orderBy(*order_by)
-    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank <= 1").drop("_rank")
+    return _first_of(df, [key, F.xxhash64(key)], order_by)
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -52,7 +57,8 @@ def deduplicate(
     counted = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(*df.columns)).alias("_row")
     )
-    message = F.concat(F.lit("duplicate key: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    shown = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    message = F.concat(F.lit("duplicate key: "), shown)
     unique = F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
     return counted.where(unique).select("_row.*")
 

@@ -29,4 +29,5 @@ def rate_join(raw: DataFrame, rates: DataFrame) -> DataFrame:
     )
     matched = raw.join(known, F.upper("salary.currency") == F.col("_currency"), "left")
     amount = salary_mid(F.col("salary")) * F.coalesce("_rate", F.lit(1.0))
-    return matched.withColumn("salary_rub", whole_roubles(amount)).drop("_currency", "_hash", "_rate")
+    salary = whole_roubles(amount)
+    return matched.withColumn("salary_rub", salary).drop("_currency", "_hash", "_rate")

@@ -9,7 +9,7 @@ base by key, the later batch winning. ``compact`` does the same and writes the
 result. Batch numbers come from one stream or one caller and grow by time.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,8 +67,12 @@ def latest_base(spark: SparkSession, store: str) -> int:
     return max(_numbers(spark, f"{store}/base", "upto"), default=-1)
 
 
-def arrival_order(df: DataFrame) -> list:
-    """Later batches first, then later files and later records in them."""
+def arrival_order() -> list[Column]:
+    """Later batches first, then later files and later records in them.
+
+    Lines of a file have no place in it, as the file is read in pieces; among them
+    the last published comes first.
+    """
     newest = ["batch_id", *ORIGIN, "published_date", "processed_at"]
     rest = sorted(set(TARGET.names) - {*newest, KEY})
     return [F.desc_nulls_last(c) for c in [*newest, *rest]]
@@ -85,7 +89,7 @@ def snapshot(spark: SparkSession, store: str) -> DataFrame:
     if changes is None:
         return base
     good = changes.where("status = 'ok'").select(*TARGET.names, *ORIGIN, "batch_id")
-    newest = latest_per_key(good, KEY, arrival_order(good)).select(*TARGET.names)
+    newest = latest_per_key(good, KEY, arrival_order()).select(*TARGET.names)
     if upto < 0:
         return newest
     return replace_rows(base, newest, good)

@@ -66,6 +66,17 @@ def test_batches(spark, tmp_path, form):
     assert st.snapshot(spark, store).columns == TARGET.names
 
 
+def test_an_empty_batch(spark, tmp_path):
+    store = str(tmp_path / "store")
+    land(tmp_path / "landing", "1")
+    counts = process_batch(spark, str(tmp_path / "landing"), store, 0)
+    assert counts == {"records": 0, "total": 0, "with_salary": 0, "rejected": 0}
+    assert current(spark, store) == [] and st.rejects(spark, store).count() == 0
+    process_batch(spark, land(tmp_path / "landing", "2", posting("1")), store, 1)
+    assert current(spark, store) == [("1", "t", None)]
+    assert st.compact(spark, store) == 1
+
+
 def test_later_record_of_a_batch_wins(spark, tmp_path):
     store = str(tmp_path / "store")
     both = land(tmp_path / "l", "1", posting("1", "old"), posting("1", "new"), form="array")

@@ -218,7 +218,9 @@ def test_rate_join_equals_the_map(spark):
 
 
 def test_enrich_gives_one_detail_per_item(spark):
-    items = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c"), ("3", "d")], "id string, n string")
+    items = spark.createDataFrame(
+        [("1", "a"), ("1", "b"), ("2", "c"), ("3", "d")], "id string, n string"
+    )
     details = spark.createDataFrame(
         [("1", "x", 1), ("1", "y", 2), ("2", "z", 3)], "id string, n string, v int"
     )
@@ -257,7 +259,8 @@ def test_pages(spark):
         "page int, body string",
     )
     assert rows(op.page_items(pages)) == [(1, '{"id":"a"}'), (1, '{"id":"b"}')]
-    lists = spark.createDataFrame([(1, [1, 1, None]), (2, []), (3, None)], "p int, items array<int>")
+    arrays = [(1, [1, 1, None]), (2, []), (3, None)]
+    lists = spark.createDataFrame(arrays, "p int, items array<int>")
     assert rows(op.explode_items(lists)) == [(1, 1), (1, 1), (1, None)]
 
 

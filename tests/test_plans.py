@@ -105,7 +105,8 @@ def test_hot_item_is_split_between_tasks(spark, skewed, tmp_path, unique):
 
 def test_hot_item_is_split_in_the_anti_join(spark, skewed):
     items = hot_items(spark)
-    details = items.where("n % 2 = 0 AND key <> 'hot'").unionAll(items.where("key <> 'hot'").limit(5))
+    cold = items.where("key <> 'hot'")
+    details = cold.where("n % 2 = 0").unionAll(cold.limit(5))
     missing = op.missing_details(items, details, "key")
     assert "skew=true" in final_plan(missing)
     expected = items.join(details.select("key").distinct(), "key", "left_anti")
