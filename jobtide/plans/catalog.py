@@ -350,7 +350,7 @@ def skill_frequency(spark, sf_dir):
 
 
 def _land_mixed(spark: SparkSession, sf_dir: str) -> str:
-    """Land a posting per order as JSON lines, some with a fraction for a salary."""
+    """Land a posting per order as JSON lines; pending ones have a fraction for a salary."""
     orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     fraction = F.struct((F.floor("o_totalprice") + 0.5).alias("from"))
@@ -366,7 +366,8 @@ def _land_mixed(spark: SparkSession, sf_dir: str) -> str:
             )
         )
 
-    text = F.when(key % 5 == 0, record(fraction)).otherwise(record(whole))
+    pending = F.col("o_orderstatus") == "P"
+    text = F.when(pending, record(fraction)).otherwise(record(whole))
     path = scratch(spark)
     orders.select(text.alias("value")).write.text(path)
     return path

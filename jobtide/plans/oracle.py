@@ -15,6 +15,7 @@ RAW = f"""raw AS (
            CASE WHEN o_orderkey % 3 <> 0
                 THEN CAST(floor(o_totalprice) AS INTEGER) + CAST(o_orderkey % 1000 AS INTEGER)
                 END AS pay_to,
+           o_orderkey % 12 <> 0 AS has_salary,
            CASE WHEN o_orderkey % 12 <> 0 THEN
                CASE o_orderpriority WHEN '1-URGENT' THEN 'usd' WHEN '2-HIGH' THEN 'EUR'
                    WHEN '3-MEDIUM' THEN 'RUR' WHEN '4-NOT SPECIFIED' THEN 'KZT' END
@@ -137,9 +138,7 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, skill FROM words JOIN vocabulary USING (skill) WHERE skill <> ''""",
     "validate_required": f"""WITH {RAW}
-        SELECT id FROM raw
-        WHERE name IS NOT NULL
-          AND CAST(regexp_extract(id, '[0-9]+') AS BIGINT) % 12 <> 0""",
+        SELECT id FROM raw WHERE name IS NOT NULL AND has_salary""",
     "validate_target": f"""{POSTINGS}
         SELECT vacancy_id, title, city FROM postings
         WHERE vacancy_id IS NOT NULL AND length(vacancy_id) <= 50
@@ -236,15 +235,14 @@ ORACLE: dict[str, str] = {
     "read_raw": f"""
         SELECT {_ID.format(k="o_orderkey")} AS id, o_orderpriority AS name,
                CAST(floor(o_totalprice) AS INTEGER) AS salary_from
-        FROM orders WHERE o_orderkey % 5 <> 0""",
+        FROM orders WHERE o_orderstatus <> 'P'""",
     "rejected_records": f"""
         SELECT {_ID.format(k="o_orderkey")} AS id,
                'record does not fit the schema' AS parse_error
-        FROM orders WHERE o_orderkey % 5 = 0""",
+        FROM orders WHERE o_orderstatus = 'P'""",
     "land_raw": f"""WITH {RAW}
         SELECT id, name,
-               CASE WHEN CAST(regexp_extract(id, '[0-9]+') AS BIGINT) % 12 <> 0 THEN pay_to END
-                   AS salary_to,
+               CASE WHEN has_salary THEN pay_to END AS salary_to,
                array_to_string(key_skills, '|') AS skills
         FROM raw""",
     "latest_batch": f"""
