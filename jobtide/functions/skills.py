@@ -5,9 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space and the four ASCII separators.
-_SPACE = r"[\s\x1c-\x1f]+"
-_OUTER_SPACE = rf"(?U)^{_SPACE}|{_SPACE}\z"
+# What Python strips off a text: Unicode white space and the ASCII separators.
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _WORD_CHAR = r"[\p{L}\p{N}]"
 
 
@@ -24,7 +23,7 @@ def skill_names(skills: Column, of_structs: bool = True) -> Column:
 
 def format_skills(skills: Column) -> Column:
     """Trim, drop blanks and nulls, remove duplicates, sort by code point."""
-    trimmed = F.transform(skills, lambda s: F.regexp_replace(s, _OUTER_SPACE, ""))
+    trimmed = F.transform(skills, lambda s: F.trim(s, F.lit(_BLANKS)))
     named = F.filter(trimmed, lambda s: s != "")
     return F.coalesce(F.array_sort(F.array_distinct(named)), F.array().cast("array<string>"))
 

@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 def strip_html(text: Column) -> Column:
     """Remove tags and put nothing in their place; entities stay as they are."""
-    return F.regexp_replace(text, "<[^>]+>", "")
+    # No tag ends behind the last ">". Searching there too would read the rest of the
+    # text once for every "<", which a text full of them turns into a stuck task.
+    tail = F.substring_index(text, ">", -1)
+    head = F.left(text, F.length(text) - F.length(tail))
+    return F.concat(F.regexp_replace(head, "<[^>]+>", ""), tail)
 
 
 def first_number(text: Column) -> Column:

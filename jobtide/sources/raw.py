@@ -31,7 +31,7 @@ def raw_records(files: DataFrame, form: Form = "lines") -> DataFrame:
         F.col("_metadata.file_modification_time").alias("source_time"),
     )
     if form == "lines":
-        return source.where(F.trim("value") != "").select(
+        return source.where(F.col("value").rlike(r"\S")).select(
             F.col("value").alias("record"),
             F.lit(True).alias("_readable"),
             "source_file",

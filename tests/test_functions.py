@@ -264,6 +264,19 @@ def test_contains_text(spark):
     assert found == [True, False, None]
 
 
+def test_texts_that_defeat_a_backtracking_search(spark):
+    opened = "<" * 500_000
+    blank = "a" + " " * 500_000 + "b"
+    assert apply(spark, fn.strip_html, [opened, f"<p>{opened}"], T.StringType()) == [opened] * 2
+    found = apply(spark, fn.format_skills, [[blank, f" {blank} "]], T.ArrayType(T.StringType()))
+    assert found == [[blank]]
+    run = "1, " * 200_000
+    assert apply(spark, fn.first_number, [run, " ," * 500_000], T.StringType()) == [None, None]
+    word = "x" * 500_000 + "docker"
+    detect = lambda c: fn.detect_skills(c, ("Docker",))
+    assert apply(spark, detect, [word, "docker" * 100_000], T.StringType()) == [[], []]
+
+
 def test_text_functions_on_random_text(spark):
     rng = random.Random(7)
     texts = ["".join(rng.choices("<>/ab 12,\n\té&;-", k=rng.randrange(25))) for _ in range(3000)]

@@ -53,7 +53,7 @@ def test_array_files(spark, tmp_path):
 
 def test_line_files(spark, tmp_path):
     lines = [json.dumps(p, ensure_ascii=False) for p in POSTINGS]
-    (tmp_path / "a.json").write_text("\n".join([*lines, "", "  "]))
+    (tmp_path / "a.json").write_text("\n".join([*lines, "", "  ", "\t"]))
     assert good_and_bad(spark, tmp_path, "lines") == (GOOD, sorted(BAD, key=repr))
 
 
