@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 _DATE = r"(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(-\d)?|\d{4}W\d{2}\d?)"
 _TIME = r"(\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?|\d{2}\d{2}(\d{2}([.,]\d+)?)?)"
 _OFFSET = r"([+-]\d{2}(:\d{2}(:\d{2})?|\d{2}(\d{2})?)?)"
+# The form the cast reads as it is.
+_USUAL = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?\z"
 _ISO = rf"(?s)^{_DATE}(\D{_TIME}{_OFFSET}?)?\z"
 
 
@@ -37,6 +39,12 @@ def parse_timestamp(text: Column) -> Column:
     Text without an offset is read in the session's time zone. Python's reader also
     takes a blank before the offset or a point without digits; those give null.
     """
+    usual = text.rlike(_USUAL)
+    return F.when(usual, text).otherwise(_completed(text)).try_cast("timestamp")
+
+
+def _completed(text: Column) -> Column:
+    """ISO-8601 text with every separator, and a time down to the seconds."""
     iso = F.replace(text, F.lit("Z"), F.lit("+00:00"))
     iso = F.when(iso.rlike(_ISO), iso)
     by_week = F.concat(
@@ -45,14 +53,13 @@ def parse_timestamp(text: Column) -> Column:
     )
     by_day = F.regexp_replace(iso, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
     iso = F.when(F.substring(iso, 5, 2).contains("W"), by_week).otherwise(by_day)
-    # The cast wants separators, and a time down to the seconds.
     time = r"(?s)^(.{10})\D(\d{2})"
     iso = F.regexp_replace(iso, time + r"(\d{2})(\d{2})", "$1T$2:$3:$4")
     iso = F.regexp_replace(iso, time + r"(\d{2})", "$1T$2:$3")
     iso = F.regexp_replace(iso, time + r"(?!:)", "$1T$2:00")
     iso = F.regexp_replace(iso, time + r"(:\d{2})(?!:\d{2})", "$1T$2$3:00")
     iso = F.regexp_replace(iso, r"(?s)^(.{10})\D", "$1T")
-    return F.translate(iso, ",", ".").try_cast("timestamp")
+    return F.translate(iso, ",", ".")
 
 
 def processed_at() -> Column:
