@@ -69,23 +69,36 @@ def upsert(
     key: str = KEY,
     on_duplicate: OnDuplicate = "error",
     order_by: Sequence[Column] = (),
+    target_bucketed: bool = False,
 ) -> DataFrame:
     """Target with the source's rows put in: new keys added, matched rows replaced.
 
     The whole row is replaced, nulls included. Only the key column of the source
     goes into the anti-join, so a batch below the broadcast threshold leaves the
-    target unshuffled, and a target bucketed by the key is never shuffled.
+    target unshuffled, and a target bucketed by the key is never shuffled. The
+    source is read twice: stage one that is costly to compute.
     """
     rows = deduplicate(source, key, on_duplicate, order_by)
-    return replace_rows(target, rows, source, key)
+    return replace_rows(target, rows, source, key, target_bucketed)
 
 
-def replace_rows(target: DataFrame, rows: DataFrame, keys: DataFrame, key: str = KEY) -> DataFrame:
+def replace_rows(
+    target: DataFrame,
+    rows: DataFrame,
+    keys: DataFrame,
+    key: str = KEY,
+    target_bucketed: bool = False,
+) -> DataFrame:
     """Target rows whose key is not among ``keys``, and the given rows.
 
-    ``keys`` are the rows before duplicates went; their keys are cheaper to get.
+    ``keys`` are the rows before duplicates went; their keys are cheaper to get. If
+    the target is bucketed, each bucket hashes its share of the keys and reads past
+    its own rows, neither shuffled nor sorted.
     """
-    untouched = target.join(keys.select(key).distinct(), key, "left_anti")
+    replaced = keys.select(key).distinct()
+    if target_bucketed:
+        replaced = replaced.hint("shuffle_hash")
+    untouched = target.join(replaced, key, "left_anti")
     return untouched.select(target.columns).unionByName(rows.select(target.columns))
 
 

@@ -7,6 +7,11 @@ A batch is written once, without a shuffle, whatever the size of the base, and
 writing it again after a failure replaces it. Reading merges the batches into the
 base by key, the later batch winning. ``compact`` does the same and writes the
 result. Batch numbers come from one stream or one caller and grow by time.
+
+The base is clustered by month of publication, or, where the functions get the name
+of a catalog table, bucketed by key: then merging batches too large for a broadcast
+shuffles the batches and leaves the base in place. The files are in the store either
+way and can be read without the catalog.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +20,7 @@ from pyspark.sql import types as T
 
 from jobtide.operators.keyed import latest_per_key, replace_rows
 from jobtide.schema import KEY, TARGET
-from jobtide.sources.tables import clustered_write
+from jobtide.sources.tables import clustered_write, save_keyed_table
 
 _ORIGIN = T.StructType(
     [
@@ -78,13 +83,20 @@ def arrival_order() -> list[Column]:
     return [F.desc_nulls_last(c) for c in [*newest, *rest]]
 
 
-def snapshot(spark: SparkSession, store: str) -> DataFrame:
+def base_path(store: str, upto: int) -> str:
+    return f"{store}/base/upto={upto}"
+
+
+def snapshot(spark: SparkSession, store: str, table: str | None = None) -> DataFrame:
     """Postings as of the last complete batch."""
     upto = latest_base(spark, store)
-    base = spark.createDataFrame([], TARGET)
-    if upto >= 0:
-        base = spark.read.schema(TARGET).parquet(f"{store}/base/upto={upto}")
-        base = base.select(*TARGET.names)
+    bucketed = bool(table) and upto >= 0 and spark.catalog.tableExists(f"{table}_v{upto}")
+    if bucketed:
+        base = spark.read.table(f"{table}_v{upto}").select(*TARGET.names)
+    elif upto >= 0:
+        base = spark.read.schema(TARGET).parquet(base_path(store, upto)).select(*TARGET.names)
+    else:
+        base = spark.createDataFrame([], TARGET)
     changes = batches(spark, store, after=upto)
     if changes is None:
         return base
@@ -92,7 +104,7 @@ def snapshot(spark: SparkSession, store: str) -> DataFrame:
     newest = latest_per_key(good, KEY, arrival_order()).select(*TARGET.names)
     if upto < 0:
         return newest
-    return replace_rows(base, newest, good)
+    return replace_rows(base, newest, good, KEY, target_bucketed=bucketed)
 
 
 def rejects(spark: SparkSession, store: str) -> DataFrame:
@@ -105,11 +117,21 @@ def rejects(spark: SparkSession, store: str) -> DataFrame:
     )
 
 
-def compact(spark: SparkSession, store: str) -> int:
-    """Merge all batches into a new base; returns the last batch it holds."""
+def compact(
+    spark: SparkSession, store: str, table: str | None = None, buckets: int = 200
+) -> int:
+    """Merge all batches into a new base; returns the last batch it holds.
+
+    With a ``table`` the base is bucketed by key and known to the catalog as
+    ``<table>_v<n>``. Bases and batches merged before stay until they are deleted.
+    """
     numbers = _numbers(spark, f"{store}/batches", "batch_id")
     upto = max(numbers, default=-1)
     if upto > latest_base(spark, store):
         # Overwriting only ever meets the remains of a compaction that failed.
-        clustered_write(snapshot(spark, store), f"{store}/base/upto={upto}", mode="overwrite")
+        merged, path = snapshot(spark, store, table), base_path(store, upto)
+        if table:
+            save_keyed_table(merged, f"{table}_v{upto}", KEY, buckets, path)
+        else:
+            clustered_write(merged, path, mode="overwrite")
     return upto

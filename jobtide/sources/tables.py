@@ -42,7 +42,10 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def append(df: DataFrame, table: str, key: str = KEY) -> None:
-    """Insert rows; raises, before anything is written, if a key is already there."""
+    """Insert rows; raises, before anything is written, if a key is already there.
+
+    The check reads the rows too: stage them first if they are costly to compute.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         check_no_clash(spark.read.table(table), df, key)
@@ -67,18 +70,19 @@ def drop_staging(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def save_keyed_table(df: DataFrame, table: str, key: str = KEY, buckets: int = 200) -> None:
+def save_keyed_table(
+    df: DataFrame, table: str, key: str = KEY, buckets: int = 200, path: str | None = None
+) -> None:
     """Write a table bucketed by its key, so an upsert into it shuffles only the batch.
 
-    A bucket is one file and one task: take a number that keeps it near 1 GB.
+    A bucket is one file and one task: take a number that keeps it near 1 GB. With a
+    ``path`` the files lie there, in place of what a failed attempt may have left.
     """
-    (
-        df.repartition(buckets, key)
-        .write.mode("errorifexists")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .saveAsTable(table)
-    )
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer.mode("overwrite").option("path", path).saveAsTable(table)
+    else:
+        writer.mode("errorifexists").saveAsTable(table)
 
 
 def merge_into(

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 from test_operators import rows
+from test_sources import plan
 
 from jobtide.plans import store as st
 from jobtide.plans.batch import process_batch
@@ -109,6 +110,27 @@ def test_compaction_changes_no_row(spark, tmp_path):
     assert current(spark, store) == [("1", "c", 7), ("2", "b", None), ("3", "c", None)]
 
 
+def test_keyed_base_stays_in_place(spark, tmp_path):
+    landing, store = tmp_path / "landing", str(tmp_path / "store")
+    for number in range(3):
+        some = [posting(str(k), f"t{number}", k) for k in range(number, 40, number + 1)]
+        process_batch(spark, land(landing, str(number), *some), store, number, processed_at=at())
+        if number < 2:
+            assert st.compact(spark, store, "base_postings", buckets=4) == number
+    merged = st.snapshot(spark, store, "base_postings")
+    found = rows(merged)
+    base = plan(merged).split("ShuffledHashJoin")[1].split("HashAggregate")[0]
+    assert "LeftAnti" in base and "base_postings_v1" in base
+    # The base is neither shuffled nor sorted.
+    assert "Exchange" not in base and "Sort" not in base
+    spark.sql("DROP TABLE base_postings_v1")
+    assert rows(st.snapshot(spark, store)) == found == rows(st.snapshot(spark, store, "none"))
+    titles = {k: "t2" if k >= 2 and k % 3 == 2 else "t1" if k % 2 else "t0" for k in range(40)}
+    assert current(spark, store) == sorted(
+        [(str(k), title, k or None) for k, title in titles.items()], key=repr
+    )
+
+
 def test_unfinished_directories_are_not_read(spark, tmp_path):
     store = str(tmp_path / "store")
     path = land(tmp_path / "landing", "1", posting("1"))

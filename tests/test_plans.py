@@ -123,10 +123,12 @@ def test_upsert_into_a_keyed_table_leaves_it_in_place(spark, shuffled_joins):
     df = entry.queries()["update_where"](spark, SF_DIR)
     src.save_keyed_table(df, "keyed_postings", buckets=4)
     target = spark.table("keyed_postings")
-    merged = op.upsert(target, df.where("salary_rub > 1000000"), KEY)
-    left = plan(merged).split("SortMergeJoin")[1].split("HashAggregate")[0]
-    assert "Exchange" not in left and "keyed_postings" in left
-    assert merged.count() == df.count()
+    batch = df.where("salary_rub > 1000000")
+    for join, bucketed in ("SortMergeJoin", False), ("ShuffledHashJoin", True):
+        merged = op.upsert(target, batch, KEY, target_bucketed=bucketed)
+        left = plan(merged).split(join)[1].split("HashAggregate")[0]
+        assert "Exchange" not in left and "keyed_postings" in left
+        assert merged.count() == df.count()
     src.drop_staging(spark, "keyed_postings")
 
 
