@@ -113,7 +113,7 @@ def test_compaction_changes_no_row(spark, tmp_path):
 def test_keyed_base_stays_in_place(spark, tmp_path):
     landing, store = tmp_path / "landing", str(tmp_path / "store")
     for number in range(3):
-        some = [posting(str(k), f"t{number}", k) for k in range(number, 40, number + 1)]
+        some = [posting(str(k), f"t{number}", k + 1) for k in range(number, 40, number + 1)]
         process_batch(spark, land(landing, str(number), *some), store, number, processed_at=at())
         if number < 2:
             assert st.compact(spark, store, "base_postings", buckets=4) == number
@@ -127,7 +127,7 @@ def test_keyed_base_stays_in_place(spark, tmp_path):
     assert rows(st.snapshot(spark, store)) == found == rows(st.snapshot(spark, store, "none"))
     titles = {k: "t2" if k >= 2 and k % 3 == 2 else "t1" if k % 2 else "t0" for k in range(40)}
     assert current(spark, store) == sorted(
-        [(str(k), title, k or None) for k, title in titles.items()], key=repr
+        [(str(k), title, k + 1) for k, title in titles.items()], key=repr
     )
 
 
