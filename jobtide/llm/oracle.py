@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobtide.llm import secrets
+from jobtide.llm import license, secrets
 
 ORACLE: dict[str, str] = {}
 
@@ -71,3 +71,44 @@ SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in se
     sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents d LEFT JOIN a USING (doc_id)
 """
+
+_quoted = lambda s: "'" + s.replace("'", "''") + "'"
+_TABLE = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in license.known(license.SENTENCES).items())
+_MATCHED = "SELECT doc_id, n_sentences, sentence_ids, '' AS found, ',' || replace(sentence_ids, ',', ',,') || ',' AS seq FROM ids"
+for _name, _seq in license.RULES:
+    _part = _quoted("," + ",,".join(_seq) + ",")
+    _MATCHED = f"""SELECT doc_id, n_sentences, sentence_ids, replace(seq, {_part}, '') AS seq, CASE WHEN contains(seq, {_part})
+        AND NOT contains(found, ',{_name},') THEN found || ',{_name},' ELSE found END AS found FROM ({_MATCHED})"""
+
+ORACLE["op2_license_scans"] = rf"""
+WITH known(s, id) AS (VALUES {_TABLE}), parts AS (
+    SELECT doc_id, unnest(p) AS s, unnest(range(len(p))) AS i
+    FROM (SELECT doc_id, string_split_regex(coalesce(text, ''), '{license.ENDS}') AS p FROM documents)
+), plain AS (
+    SELECT doc_id, i, lower(trim(regexp_replace(s, '{license.SIGNS}', ' ', 'g'))) AS s FROM parts
+), hits AS (
+    SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY i) AS ids FROM plain JOIN known USING (s) GROUP BY doc_id
+), ids AS (
+    SELECT doc_id, coalesce(n, 0) AS n_sentences, coalesce(ids, '') AS sentence_ids FROM documents LEFT JOIN hits USING (doc_id)
+), m AS ({_MATCHED})
+SELECT doc_id, n_sentences, sentence_ids, trim(replace(found, ',,', ','), ',') AS licences,
+    trim(replace(seq, ',,', ','), ',') AS unmatched
+FROM m
+"""
+
+ORACLE["op4_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents), t AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d
+), s AS (
+    SELECT doc_id, i, word, CASE WHEN count(*) OVER f = 50 THEN md5(string_agg(word, ' ') OVER f) END AS h FROM t
+    WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), m AS (SELECT h, min(doc_id) AS least FROM s WHERE h IS NOT NULL GROUP BY h), f AS (
+    SELECT doc_id, i, word, coalesce(least < doc_id, false) AS starts FROM s LEFT JOIN m USING (h)
+), g AS (
+    SELECT doc_id, i, word, bool_or(starts) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f
+), k AS (
+    SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM g GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import mixing, packing, rules, secrets
+import corpus_pipeline
+from jobtide.llm import ann, bagminhash, html, license, mixing, packing, rules, secrets, substring, toxicity
 from jobtide.llm.text import saved, table, words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,19 @@ def op1_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_license_scans(spark, sf_dir):
+    found = license.recognise(table(spark, sf_dir, "documents"))
+    joined = lambda c: F.array_join(c, ",")
+    return found.select(
+        "doc_id",
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        joined("sentence_ids").alias("sentence_ids"),
+        joined("licences").alias("licences"),
+        joined("unmatched").alias("unmatched"),
+    )
+
+
 @query
 def op3_quality_rules(spark, sf_dir):
     # texts are read once; what is learned and decided is learned and decided on counts
@@ -34,6 +48,18 @@ def op3_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    left = substring.removed(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op5_html_extraction(spark, sf_dir):
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op6_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -42,6 +68,15 @@ def op6_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+@query
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    held = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return toxicity.scored(docs.select("doc_id", "text"), model).select("doc_id", held, "score", predicted)
+
+
 @query
 def op8_secret_scans(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents"))
@@ -53,3 +88,18 @@ def op8_secret_scans(spark, sf_dir):
         F.sha2(secrets.joined(of(*base)), 256).alias("base_sha256"),
         secrets.joined(F.col("secrets")).alias("spans"),
     )
+
+
+@query
+def op9_nearest_neighbours(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op10_minhash(spark, sf_dir):
+    return bagminhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
