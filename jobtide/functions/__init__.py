@@ -9,7 +9,14 @@ from jobtide.functions.dates import (
 )
 from jobtide.functions.records import has_keys
 from jobtide.functions.salary import salary_rub
-from jobtide.functions.skills import detect_skills, format_skills, skill_names, tokens
+from jobtide.functions.skills import (
+    detect_skills,
+    format_skills,
+    open_side,
+    pieces,
+    skill_names,
+    tokens,
+)
 from jobtide.functions.text import contains_text, first_number, strip_html
 
 __all__ = [
@@ -18,9 +25,11 @@ __all__ = [
     "first_number",
     "format_skills",
     "has_keys",
+    "open_side",
     "or_now",
     "parse_timestamp",
     "period_start",
+    "pieces",
     "processed_at",
     "published_date",
     "salary_rub",

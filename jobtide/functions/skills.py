@@ -53,3 +53,13 @@ def tokens(text: Column) -> Column:
     """Distinct lower-case words of a text, a word being letters and digits."""
     words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
     return F.array_remove(F.array_distinct(words), "")
+
+
+def pieces(text: Column | str) -> Column:
+    """Words, and each other character by itself, in their order; joined they are the text."""
+    return F.regexp_extract_all(text, F.lit(rf"{_WORD_CHAR}+|(?s:.)"), F.lit(0))
+
+
+def open_side(piece: Column) -> Column:
+    """Whether a term may end beside this piece: there is none, or it is no word."""
+    return F.coalesce(~piece.rlike(rf"^{_WORD_CHAR}"), F.lit(True))

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 from jobtide.functions import contains_text, period_start
 from jobtide.operators.keyed import distinct_keys, one_per_key
 
-# Bounds of a collection run.
-MAX_DAYS_BACK = 365
-MAX_POSTINGS = 10_000
-
 
 def union_pages(*pages: DataFrame) -> DataFrame:
     """Pages one after another, duplicates kept, absent columns filled with null."""
@@ -41,16 +37,19 @@ def matches_query(
 def published_since(
     df: DataFrame, days_back: int, as_of: Column, column: str = "published_date"
 ) -> DataFrame:
-    """Rows of the last days before ``as_of``, the boundary day included."""
-    days = min(max(days_back, 1), MAX_DAYS_BACK)
-    return df.where(F.col(column) >= period_start(as_of, days))
+    """Rows of the last days before ``as_of``, the boundary day included; at least one day."""
+    if days_back < 1:
+        raise ValueError(f"days_back must be 1 or more, not {days_back}")
+    return df.where(F.col(column) >= period_start(as_of, days_back))
 
 
 def cap(
     df: DataFrame, n: int, published: str = "published_date", key: str = "vacancy_id"
 ) -> DataFrame:
-    """The n latest postings, n being at most 10,000."""
-    return df.orderBy(F.desc_nulls_last(published), key).limit(min(n, MAX_POSTINGS))
+    """The n latest postings."""
+    if n < 0:
+        raise ValueError(f"n must be 0 or more, not {n}")
+    return df.orderBy(F.desc_nulls_last(published), key).limit(n)
 
 
 def enrich(

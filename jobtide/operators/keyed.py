@@ -46,21 +46,23 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 def deduplicate(
     df: DataFrame, key: str, on_duplicate: OnDuplicate, order_by: Sequence[Column] = ()
 ) -> DataFrame:
-    """One row per key: the first in order, or an error at run time if there are more."""
+    """One row per key: the first in order, or an error at run time if there are more.
+
+    A null key is an error at run time under either policy.
+    """
+    missing = F.raise_error(f"{key} is null").cast("boolean")
+    df = df.where(F.when(F.col(key).isNull(), missing).otherwise(True))
     if on_duplicate == "latest":
         if not order_by:
             raise ValueError("on_duplicate='latest' needs an order")
         return latest_per_key(df, key, order_by)
     if on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    # Counting with a partial aggregate: a hot key is known before the shuffle.
-    counted = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_copies"), F.any_value(F.struct(*df.columns)).alias("_row")
-    )
-    shown = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    message = F.concat(F.lit("duplicate key: "), shown)
-    unique = F.when(F.col("_copies") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
-    return counted.where(unique).select("_row.*")
+    # Only keys are counted, in a hash aggregate; the rows pass a filter untouched.
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = counted.where("_copies > 1").select(F.col(key).cast("string")).limit(1).scalar()
+    raised = F.raise_error(F.concat(F.lit("duplicate key: "), repeated)).cast("boolean")
+    return df.where(F.when(repeated.isNotNull(), raised).otherwise(True))
 
 
 def upsert(
@@ -69,7 +71,6 @@ def upsert(
     key: str = KEY,
     on_duplicate: OnDuplicate = "error",
     order_by: Sequence[Column] = (),
-    target_bucketed: bool = False,
 ) -> DataFrame:
     """Target with the source's rows put in: new keys added, matched rows replaced.
 
@@ -79,7 +80,7 @@ def upsert(
     source is read twice: stage one that is costly to compute.
     """
     rows = deduplicate(source, key, on_duplicate, order_by)
-    return replace_rows(target, rows, source, key, target_bucketed)
+    return replace_rows(target, rows, source, key)
 
 
 def replace_rows(
@@ -87,27 +88,28 @@ def replace_rows(
     rows: DataFrame,
     keys: DataFrame,
     key: str = KEY,
-    target_bucketed: bool = False,
 ) -> DataFrame:
     """Target rows whose key is not among ``keys``, and the given rows.
 
-    ``keys`` are the rows before duplicates went; their keys are cheaper to get. If
-    the target is bucketed, each bucket hashes its share of the keys and reads past
-    its own rows, neither shuffled nor sorted.
+    ``keys`` are the rows before duplicates went; their keys are cheaper to get. A
+    target bucketed by the key is not shuffled; how its buckets meet the keys is for
+    Spark to choose by the keys' size.
     """
     replaced = keys.select(key).distinct()
-    if target_bucketed:
-        replaced = replaced.hint("shuffle_hash")
     untouched = target.join(replaced, key, "left_anti")
     return untouched.select(target.columns).unionByName(rows.select(target.columns))
 
 
 def key_clashes(target: DataFrame, rows: DataFrame, key: str = KEY) -> DataFrame:
-    """Keys that rows to be inserted share with the target or among themselves."""
+    """Keys that rows to be inserted share with the target or among themselves.
+
+    The rows' keys are counted once; both branches read that count, whose shuffle Spark
+    reuses. A key comes once: a repeated one is left out of the second branch.
+    """
     own = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
     repeated = own.where("_copies > 1").select(key)
-    taken = target.select(key).join(rows.select(key).distinct(), key, "left_semi")
-    return repeated.unionByName(taken).distinct()
+    taken = own.join(target.select(key), key, "left_semi").where("_copies = 1").select(key)
+    return repeated.unionByName(taken)
 
 
 def check_no_clash(target: DataFrame, rows: DataFrame, key: str = KEY) -> None:

@@ -2,10 +2,10 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobtide.functions import tokens
+from jobtide.functions import open_side, pieces
 from jobtide.schema import REPORTED_SKILLS
 
 TREND_DAYS = 7
@@ -46,14 +46,21 @@ def by_city(df: DataFrame) -> DataFrame:
 
 
 def demand_trend(df: DataFrame, days: int = TREND_DAYS) -> DataFrame:
-    """Postings per day, change from the day before, moving average.
+    """Postings per day, change from the day before, moving average over ``days`` days.
 
-    The ordered window runs over one row per calendar day, whatever the input.
+    Days without postings between the first and the last count as 0 and are listed. The
+    ordered window runs over one row per calendar day, whatever the input.
     """
     daily = count_by_day(df.where(F.col("published_date").isNotNull()))
+    span = daily.agg(F.min("published_date").alias("first"), F.max("published_date").alias("last"))
+    every = F.explode(F.sequence("first", "last"))
+    calendar = span.where("first IS NOT NULL").select(every.alias("published_date"))
+    dense = calendar.join(daily, "published_date", "left")
     ordered = Window.orderBy("published_date")
     recent = ordered.rowsBetween(-(days - 1), 0)
-    return daily.select(
+    return dense.select(
+        "published_date", F.coalesce("postings", F.lit(0)).cast("bigint").alias("postings")
+    ).select(
         "published_date",
         "postings",
         (F.col("postings") - F.lag("postings").over(ordered)).alias("change"),
@@ -72,11 +79,28 @@ def skill_frequency(df: DataFrame) -> DataFrame:
 def skills_from_vocabulary(
     df: DataFrame, vocabulary: DataFrame, text: str = "description", key: str = "vacancy_id"
 ) -> DataFrame:
-    """Pairs of posting and skill for a vocabulary kept as a table of single words.
-
-    ``vocabulary`` has a column ``skill``. Each text yields its distinct words
-    once, and only those in the vocabulary leave the join.
+    """Pairs of posting and skill for a vocabulary kept as a table; the same as ``detect_skills``.
+
+    ``vocabulary`` has a column ``skill``: words, terms with signs such as C++, or terms of
+    several words. A text is cut into words and single signs, and every run of such tokens
+    that is as long as some term meets the vocabulary in a join by equality. A term that
+    begins or ends in a letter or digit ends at a word's end, which tokens do as well; one
+    that begins or ends in a sign has no letter or digit beside it. Runs are made for the
+    lengths that occur among the terms, and a text's equal runs count once.
     """
-    words = df.select(key, F.explode(tokens(F.col(text))).alias("_word"))
-    wanted = vocabulary.select("skill", F.lower("skill").alias("_word")).distinct()
-    return words.join(wanted, "_word").select(key, "skill")
+    term = F.lower("skill")
+    wanted = vocabulary.where(F.col("skill") != "").select("skill", term.alias("_run")).distinct()
+    lengths = wanted.agg(F.collect_set(F.size(pieces("_run")))).scalar()
+    split = df.select(key, pieces(F.lower(text)).alias("_t"), lengths.alias("_n"))
+    split = split.select(key, "_t", F.explode("_n").alias("_n"))
+    last = F.size("_t") - F.col("_n") + 1
+    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+
+    def run(i: Column) -> Column:
+        whole = F.array_join(F.slice("_t", i, F.col("_n")), "")
+        before, after = F.get("_t", i - 2), F.get("_t", i - 1 + F.col("_n"))
+        return F.when(open_side(before) & open_side(after), whole)
+
+    runs = F.array_compact(F.array_distinct(F.transform(starts, run)))
+    words = split.select(key, F.explode(runs).alias("_run"))
+    return words.join(wanted, "_run").select(key, "skill")

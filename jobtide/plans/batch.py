@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobtide.operators.keyed import OnDuplicate
 from jobtide.operators.normalize import target_columns
 from jobtide.operators.validate import is_valid, reject_reasons
-from jobtide.plans.store import ORIGIN, batch_path
+from jobtide.plans.store import ORIGIN, batch_path, claim, mark
 from jobtide.schema import KEY, RATES, TARGET
 from jobtide.sources.raw import Form, parse_records, raw_records, text_reader
 
@@ -38,11 +38,18 @@ def prepare(
     )
 
 
-def write_batch(rows: DataFrame, store: str, batch_id: int) -> dict[str, int]:
+def write_batch(
+    rows: DataFrame, store: str, batch_id: int, source: str = "batch"
+) -> dict[str, int]:
     """Write one batch and return its counts, taken during the same write.
 
-    The write replaces whatever an earlier attempt at this batch left behind.
+    The write replaces whatever an earlier attempt at this batch left behind. A batch of
+    this source that has been merged already is not written again: its counts are 0.
+    Raises where another source holds the number, or a new batch would come too late.
     """
+    spark = rows.sparkSession
+    if not claim(spark, store, batch_id, source):
+        return {"records": 0, "total": 0, "with_salary": 0, "rejected": 0}
     seen = Observation()
     ok = F.col("status") == "ok"
     observed = rows.observe(
@@ -59,6 +66,7 @@ def write_batch(rows: DataFrame, store: str, batch_id: int) -> dict[str, int]:
         .partitionBy("status")
         .parquet(batch_path(store, batch_id))
     )
+    mark(spark, batch_path(store, batch_id), source)
     return dict(seen.get)
 
 
@@ -79,14 +87,16 @@ def process_batch(
     form: Form = "lines",
     on_duplicate: OnDuplicate = "latest",
     processed_at: Column | None = None,
+    source: str = "batch",
 ) -> dict[str, int]:
     """Read, normalise, check and store one landed batch; returns its counts.
 
     With ``on_duplicate="error"`` a key that comes twice stops the batch before
-    anything is written; otherwise the later record wins when the store is read.
+    anything is written, for which the files are read once more; otherwise the record of
+    the later file, then the later published, wins when the store is read. ``source`` names who writes; a number belongs to the source that wrote it.
     """
     files = text_reader(spark.read, form).load(path)
     rows = prepare(raw_records(files, form), processed_at)
     if on_duplicate == "error":
         check_unique(rows)
-    return write_batch(rows, store, batch_id)
+    return write_batch(rows, store, batch_id, source)

@@ -22,11 +22,12 @@ from jobtide.plans.adapter import (
     table,
 )
 from jobtide.plans.batch import process_batch
-from jobtide.schema import KEY, RAW
+from jobtide.schema import KEY, RAW, TARGET
 from jobtide.streaming import ingest_new
 
 # Words of the test tables, in the place of real skills.
 PART_SKILLS = ("widget", "bolt", "gear", "red", "anvil")
+VOCABULARY = ("The", "license", "of and", "que", "C++", "the MIT License", "2.0", "$$$ the")
 TEXT_SKILLS = ("The", "license", "of and", "que", "eaux", "C++")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +46,11 @@ def scratch(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/jobtide-{uuid.uuid4().hex}"
+    directory = f"{shared.rstrip('/')}/jobtide-{uuid.uuid4().hex}"
+    # Hadoop removes it when the driver ends.
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return directory
 
 
 def joined(column: str) -> Column:
@@ -167,6 +172,13 @@ def skills_from_vocabulary(spark, sf_dir):
     return op.skills_from_vocabulary(documents, words, text="text", key="doc_id")
 
 
+@query
+def vocabulary_terms(spark, sf_dir):
+    terms = spark.createDataFrame([(t,) for t in VOCABULARY], "skill string")
+    documents = table(spark, sf_dir, "documents")
+    return op.skills_from_vocabulary(documents, terms, text="text", key="doc_id")
+
+
 # Checks and row changes
 
 
@@ -183,15 +195,30 @@ def validate_target(spark, sf_dir):
     return valid.select(KEY, "title", "city")
 
 
+def _number() -> Column:
+    return F.regexp_extract(KEY, "[0-9]+", 0).cast("long")
+
+
+def _spoiled(df: DataFrame, by: Column) -> DataFrame:
+    """Rows that break each rule of the target, and some that break two, by a number."""
+    columns = {
+        "title": F.when(by % 5 != 0, F.col("title")),
+        "city": F.when(by % 7 == 0, F.repeat(F.lit("c"), 101)).otherwise(F.col("city")),
+        KEY: F.when(by % 11 == 0, F.rpad(KEY, 51, "x")).when(by % 13 != 0, F.col(KEY)),
+    }
+    return df.withColumns(columns)
+
+
 @query
 def rejected_postings(spark, sf_dir):
-    _, rejected = op.validate_target(postings(spark, sf_dir, "title", "city"))
+    _, rejected = op.validate_target(_spoiled(postings(spark, sf_dir, "title", "city"), _number()))
     return rejected.select(KEY, joined("reject_reasons"))
 
 
 @query
 def clean_postings(spark, sf_dir):
-    cleaned = op.clean(revisions(spark, sf_dir))
+    # the newest revision of an id may be invalid, and then an older one stands
+    cleaned = op.clean(_spoiled(revisions(spark, sf_dir), F.col("salary_rub")))
     return cleaned.select(KEY, "title", "salary_rub", joined("skills"), "published_date")
 
 
@@ -247,6 +274,16 @@ def upsert(spark, sf_dir):
     )
 
 
+@query
+def upsert_unique(spark, sf_dir):
+    # the default policy, with a batch that holds each key once
+    target = postings(spark, sf_dir, "title", "salary_rub").select(KEY, "title", "salary_rub")
+    some = target.where(_number() % 3 == 0)
+    new = some.select(F.concat(F.lit("new_"), KEY).alias(KEY), "title", "salary_rub")
+    changed = some.withColumn("salary_rub", F.col("salary_rub") + 1).withColumn("title", F.lit(None))
+    return op.upsert(target, changed.unionByName(new))
+
+
 # Collection
 
 
@@ -318,6 +355,20 @@ def cap(spark, sf_dir):
     return op.cap(df, 100).select(KEY, "published_date", "salary_rub")
 
 
+@query
+def published_in_years(spark, sf_dir):
+    df = postings(spark, sf_dir, "published_date")
+    return op.published_since(df, 1500, F.lit("2001-08-01").cast("date")).select(
+        KEY, "published_date"
+    )
+
+
+@query
+def cap_many(spark, sf_dir):
+    df = postings(spark, sf_dir, "published_date", "salary_rub")
+    return op.cap(df, 12_000).select(KEY, "published_date", "salary_rub")
+
+
 # Market metrics
 
 
@@ -349,8 +400,8 @@ def skill_frequency(spark, sf_dir):
 # Landing, ingestion and storage: these write to a scratch directory and read back
 
 
-def _land_mixed(spark: SparkSession, sf_dir: str) -> str:
-    """Land a posting per order as JSON lines; pending ones have a fraction for a salary."""
+def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A posting per order as JSON; pending ones have a fraction for a salary."""
     orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     fraction = F.struct((F.floor("o_totalprice") + 0.5).alias("from"))
@@ -368,8 +419,22 @@ def _land_mixed(spark: SparkSession, sf_dir: str) -> str:
 
     pending = F.col("o_orderstatus") == "P"
     text = F.when(pending, record(fraction)).otherwise(record(whole))
+    return orders.select(text.alias("value"), key.alias("key"))
+
+
+def _land_mixed(spark: SparkSession, sf_dir: str) -> str:
+    """The mixed postings as JSON lines."""
+    path = scratch(spark)
+    _mixed(spark, sf_dir).select("value").write.text(path)
+    return path
+
+
+def _land_arrays(spark: SparkSession, records: DataFrame) -> str:
+    """JSON texts with a key as files of one array each, 2,000 keys to a file."""
     path = scratch(spark)
-    orders.select(text.alias("value")).write.text(path)
+    items = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]"))
+    files = records.groupBy(F.floor(F.col("key") / 2000).alias("part")).agg(items.alias("value"))
+    files.write.partitionBy("part").text(path)
     return path
 
 
@@ -385,6 +450,24 @@ def rejected_records(spark, sf_dir):
     return rejected.select(F.get_json_object("record", "$.id").alias("id"), "parse_error")
 
 
+@query
+def read_raw_array(spark, sf_dir):
+    path = _land_arrays(spark, _mixed(spark, sf_dir))
+    good, _ = src.read_raw(spark, path, "array")
+    return good.select("id", "name", F.col("salary.from").alias("salary_from"))
+
+
+@query
+def rejected_array(spark, sf_dir):
+    # besides the misfits, elements that are no objects
+    mixed = _mixed(spark, sf_dir)
+    number = F.when(F.col("key") % 500 == 1, F.col("key").cast("string")).otherwise(F.col("value"))
+    path = _land_arrays(spark, mixed.withColumn("value", number))
+    _, rejected = src.read_raw(spark, path, "array")
+    name = F.coalesce(F.get_json_object("record", "$.id"), F.col("record"))
+    return rejected.select(name.alias("id"), "parse_error")
+
+
 @query
 def land_raw(spark, sf_dir):
     landed = src.land_raw(
@@ -407,11 +490,14 @@ def latest_batch(spark, sf_dir):
     return good.select("id", "name", F.col("salary.from").alias("salary_from"))
 
 
-def _urgent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New versions of the postings paid in dollars: double pay, no title kept."""
+def _urgent(
+    spark: SparkSession, sf_dir: str, currency: str = "usd", times: int = 2
+) -> DataFrame:
+    """New versions of the postings paid in a currency: more pay, no city kept."""
     raw = raw_postings(spark, sf_dir, "name", "salary", "published_at")
-    paid = F.col("salary").withField("to", F.col("salary.to") * 2).withField("from", F.lit(0))
-    return raw.where("salary.currency = 'usd'").withColumn("salary", paid)
+    paid = F.col("salary").withField("to", F.col("salary.to") * times)
+    raw = raw.where(F.col("salary.currency") == currency)
+    return raw.withColumn("salary", paid.withField("from", F.lit(0)))
 
 
 def _stored(df: DataFrame) -> DataFrame:
@@ -437,6 +523,96 @@ def ingest_postings(spark, sf_dir):
     return _stored(st.snapshot(spark, store))
 
 
+@query
+def ingest_array(spark, sf_dir):
+    raw = raw_postings(spark, sf_dir)
+    whole = F.to_json(F.struct(*RAW.names), {"ignoreNullFields": "false"}).alias("value")
+    number = F.regexp_extract("id", "[0-9]+", 0).cast("long").alias("key")
+    landing, store = _land_arrays(spark, raw.select(whole, number)), scratch(spark)
+    ingest_new(spark, landing, store, scratch(spark), "array", at("2024-01-01"))
+    return _stored(st.snapshot(spark, store))
+
+
+@query
+def ingest_two_sources(spark, sf_dir):
+    store, places = scratch(spark), [(scratch(spark), scratch(spark)) for _ in range(2)]
+
+    def run(place, raw, day):
+        src.land_raw(raw, place[0], day)
+        ingest_new(spark, place[0], store, place[1], processed_at=at("2024-01-01"))
+
+    run(places[0], raw_postings(spark, sf_dir), "1")
+    run(places[1], _urgent(spark, sf_dir), "1")
+    st.merge_batches(spark, store)
+    st.compact(spark, store)
+    # what comes from the first source after that is a new batch of the store
+    run(places[0], _urgent(spark, sf_dir, "EUR", 3), "2")
+    st.merge_batches(spark, store)
+    st.prune(spark, store)
+    return _stored(st.snapshot(spark, store))
+
+
+@query
+def keyed_snapshot(spark, sf_dir):
+    landing, store, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    name = f"postings_{uuid.uuid4().hex}"
+    src.land_raw(raw_postings(spark, sf_dir), landing, "1")
+    ingest_new(spark, landing, store, checkpoint, processed_at=at("2024-01-01"))
+    st.compact(spark, store, name)
+    src.land_raw(_urgent(spark, sf_dir), landing, "2")
+    ingest_new(spark, landing, store, checkpoint, processed_at=at("2024-01-02"))
+    merged = _stored(st.snapshot(spark, store, name))
+    spark.sql(f"DROP TABLE {name}_v0")  # the files stay in the store
+    return merged
+
+
+# Tables and views
+
+
+@query
+def target_table(spark, sf_dir):
+    place, name = scratch(spark), f"target_{uuid.uuid4().hex}"
+    src.create_target(spark, name, place)
+    made = [{KEY: "made_1", "title": "made", "salary_rub": 150_000, "skills": ["Docker"]}]
+    src.append(src.from_rows(spark, made), name)
+    src.append(postings(spark, sf_dir).where("title IS NOT NULL").select(*TARGET.names), name)
+    staged = src.stage(src.read_table(spark, name).where("salary_rub IS NOT NULL"))
+    copy = f"{name}_paid"
+    for _ in range(2):
+        src.overwrite(src.read_table(spark, staged).select(KEY, "salary_rub"), copy)
+    src.drop_staging(spark, staged)
+    paid = src.read_table(spark, copy).agg(F.count("*"), F.sum("salary_rub")).first()
+    spark.sql(f"DROP TABLE {copy}")
+    spark.sql(f"DROP TABLE {name}")  # its files stay at their place
+    return spark.read.schema(TARGET).parquet(place).select(
+        KEY, "title", "salary_rub", F.lit(paid[0]).alias("n_paid"), F.lit(paid[1]).alias("sum_paid")
+    )
+
+
+@query
+def stats_view(spark, sf_dir):
+    name = f"postings_{uuid.uuid4().hex}"
+    src.register_view(postings(spark, sf_dir, "salary_rub", "published_date"), name)
+    found = spark.sql(
+        f"SELECT published_date, count(*) AS postings, max(salary_rub) AS most FROM {name} "
+        "GROUP BY published_date"
+    )
+    src.drop_staging(spark, name)
+    return found
+
+
+@query
+def defaults(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    given = F.when(F.col("event_id") % 3 != 0, F.col("ts"))
+    filled = fn.or_now(given)
+    return events.select(
+        "event_id",
+        F.coalesce(filled == given, F.lit(False)).alias("kept"),
+        (given.isNull() & (filled == fn.processed_at())).alias("filled"),
+    )
+
+
 @query
 def clustered_postings(spark, sf_dir):
     path = scratch(spark)

@@ -1,6 +1,8 @@
 """The catalog's queries in DuckDB SQL, to compare results with."""
 
-from jobtide.plans.catalog import PART_SKILLS, TEXT_SKILLS
+import re
+
+from jobtide.plans.catalog import PART_SKILLS, TEXT_SKILLS, VOCABULARY
 
 _ID = """CASE WHEN {k} % 50 = 0 THEN 'test_' ELSE 'v_' END || CAST({k} AS VARCHAR)"""
 _MOMENT = """CAST(CAST({d} AS DATE) AS VARCHAR) || 'T10:30:00+0300'"""
@@ -66,10 +68,44 @@ REVISIONS = f"""revisions AS (
 _SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
 
 
-def _detected(term: str) -> str:
-    quoted = term.lower().replace("+", r"\+")
+def _holds(term: str) -> str:
+    quoted = re.sub(r"([+.$])", r"\\\1", term.lower())
     pattern = rf"(^|[^\p{{L}}\p{{N}}]){quoted}([^\p{{L}}\p{{N}}]|$)"
-    return f"CASE WHEN regexp_matches(lower(text), '{pattern}') THEN '{term}' END"
+    return f"regexp_matches(lower(text), '{pattern}')"
+
+
+def _detected(term: str) -> str:
+    return f"CASE WHEN {_holds(term)} THEN '{term}' END"
+
+
+# A number spoils a row; see the catalog.
+_TITLE = "CASE WHEN {n} % 5 <> 0 THEN title END"
+_CITY = "CASE WHEN {n} % 7 = 0 THEN repeat('c', 101) ELSE city END"
+_KEY = """CASE WHEN {n} % 11 = 0 THEN rpad(vacancy_id, 51, 'x')
+          WHEN {n} % 13 <> 0 THEN vacancy_id END"""
+_NUMBER = "CAST(regexp_extract(vacancy_id, '[0-9]+') AS BIGINT)"
+
+
+def _paid(currency: str, rate: int, times: int) -> str:
+    return f"""
+            SELECT id AS vacancy_id, name AS title, CAST(NULL AS VARCHAR) AS city,
+                   CAST(pay_to * {times} * {rate} AS INTEGER) AS salary_rub,
+                   TRY_CAST(substr(published_at, 1, 10) AS DATE) AS published_date
+            FROM raw WHERE currency = '{currency}' AND name IS NOT NULL"""
+
+
+def _merged(*batches: str) -> str:
+    """Stored postings with batches put in; no two of these share a key."""
+    names = [f"batch{i}" for i in range(len(batches))]
+    made = "".join(f", {n} AS ({b})" for n, b in zip(names, batches, strict=True))
+    left = "".join(f" AND vacancy_id NOT IN (SELECT vacancy_id FROM {n})" for n in names)
+    added = "".join(
+        f" UNION ALL SELECT vacancy_id, title, city, salary_rub, published_date FROM {n}"
+        for n in names
+    )
+    return f"""{POSTINGS}{made}
+        SELECT vacancy_id, title, city, salary_rub, published_date FROM postings
+        WHERE title IS NOT NULL{left}{added}"""
 
 
 def _in(terms) -> str:
@@ -137,18 +173,39 @@ ORACLE: dict[str, str] = {
             FROM documents
         )
         SELECT doc_id, skill FROM words JOIN vocabulary USING (skill) WHERE skill <> ''""",
+    "vocabulary_terms": " UNION ALL ".join(
+        f"SELECT doc_id, '{t}' AS skill FROM documents WHERE {_holds(t)}" for t in VOCABULARY
+    ),
     "validate_required": f"""WITH {RAW}
         SELECT id FROM raw WHERE name IS NOT NULL AND has_salary""",
     "validate_target": f"""{POSTINGS}
         SELECT vacancy_id, title, city FROM postings
         WHERE vacancy_id IS NOT NULL AND length(vacancy_id) <= 50
           AND title IS NOT NULL AND coalesce(length(city), 0) <= 100""",
-    "rejected_postings": f"""{POSTINGS}
-        SELECT vacancy_id, 'title missing' AS reject_reasons FROM postings WHERE title IS NULL""",
+    "rejected_postings": f"""{POSTINGS}, spoiled AS (
+            SELECT {_KEY.format(n=_NUMBER)} AS vacancy_id, {_TITLE.format(n=_NUMBER)} AS title,
+                   {_CITY.format(n=_NUMBER)} AS city
+            FROM postings
+        ), reasons AS (
+            SELECT vacancy_id, concat_ws('|',
+                CASE WHEN vacancy_id IS NULL THEN 'id missing' END,
+                CASE WHEN length(vacancy_id) > 50 THEN 'id too long' END,
+                CASE WHEN title IS NULL THEN 'title missing' END,
+                CASE WHEN length(city) > 100 THEN 'city too long' END) AS reject_reasons
+            FROM spoiled
+        )
+        SELECT vacancy_id, reject_reasons FROM reasons WHERE reject_reasons <> ''""",
     "clean_postings": f"""WITH {REVISIONS}
         SELECT vacancy_id, title, salary_rub, array_to_string(skills, '|') AS skills,
                published_date
-        FROM latest""",
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY vacancy_id
+                ORDER BY published_date DESC, salary_rub DESC, title DESC) AS copy
+            FROM revisions
+            WHERE salary_rub % 5 <> 0 AND salary_rub % 7 <> 0 AND salary_rub % 11 <> 0
+              AND salary_rub % 13 <> 0)
+        WHERE copy = 1""",
     "latest_per_key": """
         SELECT user_id, event_id, event_type, value FROM (
             SELECT *, row_number() OVER (
@@ -178,6 +235,12 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT vacancy_id, title, NULL, salary_rub, array_to_string(skills, '|'), published_date
         FROM latest""",
+    "upsert_unique": f"""{POSTINGS}
+        SELECT vacancy_id, CASE WHEN {_NUMBER} % 3 <> 0 THEN title END AS title,
+               CASE WHEN {_NUMBER} % 3 = 0 THEN salary_rub + 1 ELSE salary_rub END AS salary_rub
+        FROM postings
+        UNION ALL
+        SELECT 'new_' || vacancy_id, title, salary_rub FROM postings WHERE {_NUMBER} % 3 = 0""",
     "enrich": """
         SELECT doc_id, lang, source, quality, toxic FROM documents JOIN labels USING (doc_id)""",
     "missing_details": """
@@ -209,6 +272,12 @@ ORACLE: dict[str, str] = {
     "cap": f"""{POSTINGS}
         SELECT vacancy_id, published_date, salary_rub FROM postings
         ORDER BY published_date DESC NULLS LAST, vacancy_id LIMIT 100""",
+    "published_in_years": f"""{POSTINGS}
+        SELECT vacancy_id, published_date FROM postings
+        WHERE published_date >= DATE '2001-08-01' - 1500""",
+    "cap_many": f"""{POSTINGS}
+        SELECT vacancy_id, published_date, salary_rub FROM postings
+        ORDER BY published_date DESC NULLS LAST, vacancy_id LIMIT 12000""",
     "count_by_day": f"""{POSTINGS}
         SELECT published_date, count(*) AS postings FROM postings GROUP BY published_date""",
     "salary_by_skill": f"""{POSTINGS}
@@ -220,8 +289,10 @@ ORACLE: dict[str, str] = {
                round(count(*) * 100.0 / (SELECT count(*) FROM postings), 2) AS share_pct
         FROM postings GROUP BY city""",
     "demand_trend": f"""{POSTINGS}, daily AS (
-            SELECT published_date, count(*) AS postings FROM postings
-            WHERE published_date IS NOT NULL GROUP BY published_date
+            SELECT CAST(day AS DATE) AS published_date, count(published_date) AS postings
+            FROM (SELECT unnest(generate_series(min(published_date), max(published_date),
+                                                INTERVAL 1 DAY)) AS day FROM postings)
+            LEFT JOIN postings ON published_date = CAST(day AS DATE) GROUP BY day
         )
         SELECT published_date, postings,
                postings - lag(postings) OVER (ORDER BY published_date) AS change,
@@ -240,6 +311,15 @@ ORACLE: dict[str, str] = {
         SELECT {_ID.format(k="o_orderkey")} AS id,
                'record does not fit the schema' AS parse_error
         FROM orders WHERE o_orderstatus = 'P'""",
+    "read_raw_array": f"""
+        SELECT {_ID.format(k="o_orderkey")} AS id, o_orderpriority AS name,
+               CAST(floor(o_totalprice) AS INTEGER) AS salary_from
+        FROM orders WHERE o_orderstatus <> 'P'""",
+    "rejected_array": f"""
+        SELECT CASE WHEN o_orderkey % 500 = 1 THEN CAST(o_orderkey AS VARCHAR)
+                    ELSE {_ID.format(k="o_orderkey")} END AS id,
+               'record does not fit the schema' AS parse_error
+        FROM orders WHERE o_orderstatus = 'P' OR o_orderkey % 500 = 1""",
     "land_raw": f"""WITH {RAW}
         SELECT id, name,
                CASE WHEN has_salary THEN pay_to END AS salary_to,
@@ -252,16 +332,22 @@ ORACLE: dict[str, str] = {
     "process_postings": f"""{POSTINGS}
         SELECT vacancy_id, title, city, salary_rub, published_date FROM postings
         WHERE title IS NOT NULL""",
-    "ingest_postings": f"""{POSTINGS}, urgent AS (
-            SELECT id AS vacancy_id, name AS title, CAST(NULL AS VARCHAR) AS city,
-                   CAST(pay_to * 2 * 95 AS INTEGER) AS salary_rub,
-                   TRY_CAST(substr(published_at, 1, 10) AS DATE) AS published_date
-            FROM raw WHERE currency = 'usd' AND name IS NOT NULL
+    "ingest_postings": _merged(_paid("usd", 95, 2)),
+    "keyed_snapshot": _merged(_paid("usd", 95, 2)),
+    "ingest_two_sources": _merged(_paid("usd", 95, 2), _paid("EUR", 102, 3)),
+    "ingest_array": _merged(),
+    "target_table": f"""{POSTINGS}, made AS (
+            SELECT vacancy_id, title, salary_rub FROM postings WHERE title IS NOT NULL
+            UNION ALL SELECT 'made_1', 'made', 150000
         )
-        SELECT vacancy_id, title, city, salary_rub, published_date FROM postings
-        WHERE title IS NOT NULL AND vacancy_id NOT IN (SELECT vacancy_id FROM urgent)
-        UNION ALL
-        SELECT vacancy_id, title, city, salary_rub, published_date FROM urgent""",
+        SELECT vacancy_id, title, salary_rub, (SELECT count(salary_rub) FROM made) AS n_paid,
+               CAST((SELECT sum(salary_rub) FROM made) AS BIGINT) AS sum_paid
+        FROM made""",
+    "stats_view": f"""{POSTINGS}
+        SELECT published_date, count(*) AS postings, max(salary_rub) AS most
+        FROM postings GROUP BY published_date""",
+    "defaults": """
+        SELECT event_id, event_id % 3 <> 0 AS kept, event_id % 3 = 0 AS filled FROM events""",
     "clustered_postings": f"""{POSTINGS}
         SELECT vacancy_id, city, salary_rub, published_date FROM postings
         WHERE published_date BETWEEN DATE '2001-06-15' AND DATE '2001-07-14'""",

@@ -1,12 +1,18 @@
 """The postings on disk: a base, and the batches that came after it.
 
     <store>/batches/batch_id=<n>/status=ok|rejected/   one directory per batch
+    <store>/changes/upto=<n>/                          batches after the base up to n, merged
     <store>/base/upto=<n>/                             all batches up to n, merged
 
 A batch is written once, without a shuffle, whatever the size of the base, and
 writing it again after a failure replaces it. Reading merges the batches into the
-base by key, the later batch winning. ``compact`` does the same and writes the
-result. Batch numbers come from one stream or one caller and grow by time.
+base by key, the later batch winning. A directory counts when it holds the marker that
+is written last; a batch's marker names the source that wrote it, so that no source
+takes another's number and nothing is put behind the base, where it would not be read.
+
+``merge_batches`` merges the batches among themselves and does not touch the base;
+``compact`` writes a new base. ``prune`` removes what has been merged. One job at a time
+writes to a store.
 
 The base is clustered by month of publication, or, where the functions get the name
 of a catalog table, bucketed by key: then merging batches too large for a broadcast
@@ -46,21 +52,76 @@ def batch_path(store: str, batch_id: int) -> str:
     return f"{store}/batches/batch_id={batch_id}"
 
 
-def _numbers(spark: SparkSession, directory: str, label: str) -> list[int]:
-    """Numbers of the complete ``label=<n>`` directories, in order."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(directory)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+MARKER = "_COMPLETE"
+#: A bucket of the base holds so many bytes or fewer.
+BUCKET_BYTES = 1 << 30
+
+
+def _files(spark: SparkSession, directory: str):
+    """Hadoop's path and file system of a directory."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _marks(spark: SparkSession, directory: str, label: str) -> dict[int, str]:
+    """Numbers of the complete ``label=<n>`` directories, in order, and who wrote them."""
+    root, fs = _files(spark, directory)
     if not fs.exists(root):
-        return []
-    # A job that fails half-way leaves no _SUCCESS and is not seen.
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{directory}/{label}=*/_SUCCESS"))
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
+        return {}
+    jvm = spark.sparkContext._jvm
+    found = {}
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{directory}/{label}=*/{MARKER}")):
+        number = int(status.getPath().getParent().getName().split("=")[1])
+        stream = fs.open(status.getPath())
+        try:
+            found[number] = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+    return dict(sorted(found.items()))
+
+
+def mark(spark: SparkSession, directory: str, text: str = "") -> None:
+    """Declare a directory complete."""
+    path, fs = _files(spark, f"{directory}/{MARKER}")
+    stream = fs.create(path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def batch_numbers(spark: SparkSession, store: str) -> dict[int, str]:
+    """Complete batches, merged or not, with their sources."""
+    return _marks(spark, f"{store}/batches", "batch_id")
+
+
+def number_for(spark: SparkSession, store: str, source: str) -> int:
+    """The number a source has already written under, or the next free one."""
+    held = batch_numbers(spark, store)
+    mine = [n for n, s in held.items() if s == source]
+    return mine[0] if mine else max([*held, latest_base(spark, store)], default=-1) + 1
+
+
+def claim(spark: SparkSession, store: str, batch_id: int, source: str) -> bool:
+    """Whether a source may write a batch now; False if its own batch is merged already.
+
+    Raises ValueError where writing would replace another source's batch, or put a new one
+    behind what is merged.
+    """
+    held = batch_numbers(spark, store).get(batch_id)
+    if held is not None and held != source:
+        raise ValueError(f"batch {batch_id} was written by {held!r}, not by {source!r}")
+    upto = max(latest_base(spark, store), latest_changes(spark, store))
+    if batch_id > upto:
+        return True
+    if held is None:
+        raise ValueError(f"batch {batch_id} comes after batches up to {upto} were merged")
+    return False
 
 
 def batches(spark: SparkSession, store: str, after: int = -1) -> DataFrame | None:
     """Rows of the batches after a number, both good and rejected."""
-    numbers = [n for n in _numbers(spark, f"{store}/batches", "batch_id") if n > after]
+    numbers = [n for n in batch_numbers(spark, store) if n > after]
     if not numbers:
         return None
     paths = [batch_path(store, n) for n in numbers]
@@ -69,20 +130,43 @@ def batches(spark: SparkSession, store: str, after: int = -1) -> DataFrame | Non
 
 def latest_base(spark: SparkSession, store: str) -> int:
     """Number of the last batch in the newest base, -1 without one."""
-    return max(_numbers(spark, f"{store}/base", "upto"), default=-1)
+    return max(_marks(spark, f"{store}/base", "upto"), default=-1)
+
+
+def latest_changes(spark: SparkSession, store: str) -> int:
+    """Number of the last batch among the merged ones, -1 without one."""
+    return max(_marks(spark, f"{store}/changes", "upto"), default=-1)
 
 
 def arrival_order() -> list[Column]:
-    """Later batches first, then later files and later records in them.
+    """Later batches first, then later files, then the last published.
 
-    Lines of a file have no place in it, as the file is read in pieces; among them
-    the last published comes first.
+    The place in a file does not count: lines have none, as a file is read in pieces, and
+    the same records in one array give the same posting.
     """
-    newest = ["batch_id", *ORIGIN, "published_date", "processed_at"]
+    newest = ["batch_id", "source_time", "source_file", "published_date", "processed_at"]
     rest = sorted(set(TARGET.names) - {*newest, KEY})
     return [F.desc_nulls_last(c) for c in [*newest, *rest]]
 
 
+def _changes(spark: SparkSession, store: str, upto: int) -> DataFrame | None:
+    """Good rows of what came after a base: merged batches, and those after them."""
+    columns = [*TARGET.names, *ORIGIN, "batch_id"]
+    merged = latest_changes(spark, store)
+    found = batches(spark, store, after=max(upto, merged))
+    if found is not None:
+        found = found.where("status = 'ok'").select(*columns)
+    if merged <= upto:
+        return found
+    schema = T.StructType([f for f in BATCH.fields if f.name in columns])
+    rows = spark.read.schema(schema).parquet(changes_path(store, merged)).select(*columns)
+    return rows if found is None else rows.unionByName(found)
+
+
+def changes_path(store: str, upto: int) -> str:
+    return f"{store}/changes/upto={upto}"
+
+
 def base_path(store: str, upto: int) -> str:
     return f"{store}/base/upto={upto}"
 
@@ -90,21 +174,19 @@ def base_path(store: str, upto: int) -> str:
 def snapshot(spark: SparkSession, store: str, table: str | None = None) -> DataFrame:
     """Postings as of the last complete batch."""
     upto = latest_base(spark, store)
-    bucketed = bool(table) and upto >= 0 and spark.catalog.tableExists(f"{table}_v{upto}")
-    if bucketed:
+    if table and upto >= 0 and spark.catalog.tableExists(f"{table}_v{upto}"):
         base = spark.read.table(f"{table}_v{upto}").select(*TARGET.names)
     elif upto >= 0:
         base = spark.read.schema(TARGET).parquet(base_path(store, upto)).select(*TARGET.names)
     else:
         base = spark.createDataFrame([], TARGET)
-    changes = batches(spark, store, after=upto)
-    if changes is None:
+    good = _changes(spark, store, upto)
+    if good is None:
         return base
-    good = changes.where("status = 'ok'").select(*TARGET.names, *ORIGIN, "batch_id")
     newest = latest_per_key(good, KEY, arrival_order()).select(*TARGET.names)
     if upto < 0:
         return newest
-    return replace_rows(base, newest, good, KEY, target_bucketed=bucketed)
+    return replace_rows(base, newest, good, KEY)
 
 
 def rejects(spark: SparkSession, store: str) -> DataFrame:
@@ -117,21 +199,54 @@ def rejects(spark: SparkSession, store: str) -> DataFrame:
     )
 
 
+def merge_batches(spark: SparkSession, store: str) -> int:
+    """Merge what came after the base into one set of rows; returns its last batch.
+
+    Only the batches are read and moved, so this is cheap whatever the base; ``compact``
+    is for when the changes have grown to a good part of it.
+    """
+    upto, number = latest_base(spark, store), max(batch_numbers(spark, store), default=-1)
+    if number > max(upto, latest_changes(spark, store)):
+        rows = latest_per_key(_changes(spark, store, upto), KEY, arrival_order())
+        rows.write.mode("overwrite").parquet(changes_path(store, number))
+        mark(spark, changes_path(store, number))
+    return number
+
+
 def compact(
-    spark: SparkSession, store: str, table: str | None = None, buckets: int = 200
+    spark: SparkSession, store: str, table: str | None = None, buckets: int | None = None
 ) -> int:
     """Merge all batches into a new base; returns the last batch it holds.
 
     With a ``table`` the base is bucketed by key and known to the catalog as
-    ``<table>_v<n>``. Bases and batches merged before stay until they are deleted.
+    ``<table>_v<n>``; without ``buckets`` there are as many as keep one near 1 GB. Bases
+    and batches merged before stay until ``prune`` removes them.
     """
-    numbers = _numbers(spark, f"{store}/batches", "batch_id")
-    upto = max(numbers, default=-1)
+    upto = max(batch_numbers(spark, store), default=-1)
     if upto > latest_base(spark, store):
         # Overwriting only ever meets the remains of a compaction that failed.
         merged, path = snapshot(spark, store, table), base_path(store, upto)
         if table:
+            if buckets is None:
+                root, fs = _files(spark, store)
+                buckets = fs.getContentSummary(root).getLength() // BUCKET_BYTES + 1
             save_keyed_table(merged, f"{table}_v{upto}", KEY, buckets, path)
         else:
             clustered_write(merged, path, mode="overwrite")
+        mark(spark, path)
     return upto
+
+
+def prune(spark: SparkSession, store: str) -> None:
+    """Remove rows of batches, changes and bases that a newer base or merge holds.
+
+    Rejected records stay, and so do the batches' markers. A catalog table over a removed
+    base is the caller's to drop.
+    """
+    base, changes = latest_base(spark, store), latest_changes(spark, store)
+    gone = [f"{batch_path(store, n)}/status=ok" for n in batch_numbers(spark, store) if n <= max(base, changes)]
+    gone += [base_path(store, n) for n in _marks(spark, f"{store}/base", "upto") if n < base]
+    gone += [changes_path(store, n) for n in _marks(spark, f"{store}/changes", "upto") if n < changes or n <= base]
+    for directory in gone:
+        path, fs = _files(spark, directory)
+        fs.delete(path, True)

@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 KEY = "vacancy_id"
 
-# A posting as the source publishes it. Keys that are not declared are dropped
+# A posting as the source publishes it. Keys that are not declared are dropped
 # and declared keys that are absent read as null.
 RAW = T.StructType(
     [
@@ -30,7 +30,7 @@ RAW = T.StructType(
     ]
 )
 
-# A posting as it is stored. The limits below say what a valid row is.
+# A posting as it is stored. The limits below say what a valid row is.
 TARGET = T.StructType(
     [
         T.StructField(KEY, T.StringType(), nullable=False),
@@ -44,6 +44,7 @@ TARGET = T.StructType(
     ]
 )
 
+# Longest id and city.
 MAX_ID_CHARS = 50
 MAX_CITY_CHARS = 100
 

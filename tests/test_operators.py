@@ -4,9 +4,12 @@ import datetime as dt
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from jobtide import functions as fn
 from jobtide import operators as op
 from jobtide.schema import RAW, TARGET
 from jobtide.sources import from_rows
@@ -275,8 +278,27 @@ def test_published_since_includes_the_boundary(spark):
     df = stored(spark, *[{"vacancy_id": str(d), "published_date": d} for d in [*days, None]])
     as_of = F.lit(dt.date(2024, 1, 3))
     assert op.published_since(df, 1, as_of).count() == 2
-    assert op.published_since(df, 0, as_of).count() == 2
     assert op.published_since(df, 100_000, as_of).count() == 3
+    for days in (0, -1):
+        with pytest.raises(ValueError, match="days_back"):
+            op.published_since(df, days, as_of)
+
+
+def test_cap_takes_any_number(spark):
+    df = spark.range(12_000).select(
+        F.col("id").cast("string").alias("vacancy_id"), F.current_date().alias("published_date")
+    )
+    assert op.cap(df, 11_000).count() == 11_000 and op.cap(df, 0).count() == 0
+    with pytest.raises(ValueError, match="n must be"):
+        op.cap(df, -1)
+
+
+@pytest.mark.parametrize("policy", ["error", "latest"])
+def test_a_null_key_is_refused(spark, policy):
+    target = simple(spark, *TARGET_ROWS)
+    batch = simple(spark, ("1", "x", 1), (None, "y", 2))
+    with pytest.raises(Exception, match="id is null"):
+        op.upsert(target, batch, "id", policy, [F.desc("salary")]).collect()
 
 
 def test_matches_query(spark):
@@ -338,8 +360,13 @@ def test_market_metrics(spark):
     ]
     assert rows(op.demand_trend(df)) == [
         (DAY, 3, None, 3.0),
-        (dt.date(2024, 1, 3), 1, -2, 2.0),
+        (dt.date(2024, 1, 2), 0, -3, 1.5),
+        (dt.date(2024, 1, 3), 1, 1, 1.33),
     ]
+    gap = stored(spark, *[{"vacancy_id": str(d), "published_date": dt.date(2024, 1, d)} for d in (1, 20)])
+    trend = [tuple(r) for r in op.demand_trend(gap).orderBy("published_date").collect()]
+    assert len(trend) == 20 and trend[-1] == (dt.date(2024, 1, 20), 1, 1, 0.14)
+    assert op.demand_trend(gap.where("false")).collect() == []
     assert op.count_by_day(df).agg(F.sum("postings")).first()[0] == df.count()
 
 
@@ -351,3 +378,16 @@ def test_skills_from_vocabulary(spark):
     )
     words = spark.createDataFrame([("Docker",), ("Go",), ("Go",)], "skill string")
     assert rows(op.skills_from_vocabulary(df, words)) == [("1", "Docker"), ("1", "Go")]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.data())
+def test_both_vocabulary_forms_agree(spark, data):
+    parts = st.sampled_from(["C++", "c", "+", " ", ".net", "CI/CD", "é", "7", "node.js", "machine learning", "-", "\n", "x"])
+    text = st.lists(parts, max_size=9).map("".join)
+    texts = data.draw(st.lists(text, min_size=1, max_size=8))
+    terms = data.draw(st.lists(st.lists(parts, min_size=1, max_size=3).map("".join), min_size=1, max_size=6, unique_by=str.lower))
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    listed = df.select("k", F.explode(fn.detect_skills(F.col("text"), terms)).alias("skill"))
+    words = spark.createDataFrame([(t,) for t in terms], "skill string")
+    assert rows(op.skills_from_vocabulary(df, words, "text", "k")) == rows(listed)

@@ -8,12 +8,15 @@ from test_sources import plan
 
 from jobtide import operators as op
 from jobtide import sources as src
+from jobtide.plans import store as st
+from jobtide.plans.batch import process_batch
+from jobtide.plans.catalog import QUERIES
 from jobtide.schema import KEY
 
 SF_DIR = f"{TESTDATA}/sf0.001"
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_python_and_no_pair_join(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     for node in "EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoopJoin":
@@ -124,14 +127,70 @@ def test_upsert_into_a_keyed_table_leaves_it_in_place(spark, shuffled_joins):
     src.save_keyed_table(df, "keyed_postings", buckets=4)
     target = spark.table("keyed_postings")
     batch = df.where("salary_rub > 1000000")
-    for join, bucketed in ("SortMergeJoin", False), ("ShuffledHashJoin", True):
-        merged = op.upsert(target, batch, KEY, target_bucketed=bucketed)
-        left = plan(merged).split(join)[1].split("HashAggregate")[0]
-        assert "Exchange" not in left and "keyed_postings" in left
-        assert merged.count() == df.count()
+    merged = op.upsert(target, batch, KEY)
+    left = plan(merged).split("LeftAnti")[1].split("HashAggregate")[0]
+    assert "Exchange" not in left and "keyed_postings" in left
+    assert merged.count() == df.count()
     src.drop_staging(spark, "keyed_postings")
 
 
+def test_the_default_upsert_moves_no_rows_of_the_batch(spark):
+    df = entry.queries()["update_where"](spark, SF_DIR)
+    text = plan(op.upsert(df, df.withColumn("salary_rub", F.lit(1)), KEY))
+    assert "SortAggregate" not in text
+
+
+def test_key_clashes_counts_the_rows_once(spark):
+    target = spark.range(0, 900).select(F.col("id").cast("string").alias(KEY))
+    batch = spark.range(800, 1000).select((F.col("id") % 950).cast("string").alias(KEY))
+    clashes = op.key_clashes(target, batch.unionAll(batch.limit(3)))
+    found = clashes.collect()
+    assert len(found) == len(set(found))
+    final = plan(clashes)
+    assert final.count("ReusedExchange") >= 1 or final.count("HashAggregate(keys") <= 4
+
+
+@pytest.mark.parametrize("terms", [1, 3])
+def test_a_word_in_every_text_is_split_between_tasks(spark, skewed, terms):
+    texts = spark.range(0, 30_000, 1, 8).select(
+        F.col("id").cast("string").alias("k"),
+        F.concat(F.lit("hot C++ "), F.sha2(F.col("id").cast("string"), 256)).alias("text"),
+    )
+    words = ["hot", "C++", "hot C++"][:terms]
+    vocabulary = spark.range(0, 20_000).select(F.sha2(F.col("id").cast("string"), 224).alias("skill"))
+    vocabulary = vocabulary.unionAll(spark.createDataFrame([(w,) for w in words], "skill string"))
+    found = op.skills_from_vocabulary(texts, vocabulary, "text", "k")
+    # three hot words in four partitions are no exception any more
+    assert terms > 1 or "skew=true" in final_plan(found)
+    assert found.count() == 30_000 * terms
+
+
+def test_merging_batches_does_not_read_the_base(spark, tmp_path):
+    store = str(tmp_path / "store")
+    rows = spark.range(300).select(F.col("id").cast("string").alias("id"), F.lit("t").alias("name"))
+    for number, some in enumerate((rows, rows.where("id < 9"), rows.where("id > 290"))):
+        some.write.json(str(tmp_path / f"in{number}"))
+        process_batch(spark, str(tmp_path / f"in{number}"), store, number)
+        if number == 0:
+            st.compact(spark, store)
+    expected = sorted(st.snapshot(spark, store).drop("processed_at").collect(), key=repr)
+    # a base that could not be read would stop the merge
+    base = tmp_path / "store/base/upto=0"
+    files = {f: f.read_bytes() for f in base.rglob("*.parquet")}
+    for f in files:
+        f.write_bytes(b"none")
+    assert st.merge_batches(spark, store) == 2 and st.latest_base(spark, store) == 0
+    for f, content in files.items():
+        f.write_bytes(content)
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    st.prune(spark, store)
+    assert sorted(st.snapshot(spark, store).drop("processed_at").collect(), key=repr) == expected
+    assert st.compact(spark, store) == 2
+    st.prune(spark, store)
+    assert not (tmp_path / "store/base/upto=0").exists()
+    assert sorted(st.snapshot(spark, store).drop("processed_at").collect(), key=repr) == expected
+
+
 def test_a_month_that_holds_most_rows_becomes_several_files(spark, tmp_path):
     path = str(tmp_path / "clustered")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40KB")

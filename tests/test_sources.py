@@ -103,7 +103,16 @@ def test_latest_batch(spark, tmp_path):
         file.parent.mkdir(exist_ok=True)
         file.write_text("[]")
         os.utime(file, (now - 60 * age, now - 60 * age))
+    with pytest.raises(FileNotFoundError):
+        src.latest_batch(spark, str(tmp_path))
+    for age, name in enumerate(["run_ts=b", "run_ts=a"]):
+        done = tmp_path / name / "_SUCCESS"
+        done.touch()
+        os.utime(done, (now - 60 * age, now - 60 * age))
+    (tmp_path / "run_ts=c").mkdir()
+    (tmp_path / "run_ts=c/1.json").write_text("[")  # half-written
     assert src.latest_batch(spark, str(tmp_path)).endswith("run_ts=b")
+    (tmp_path / "run_ts=c/1.json").unlink()
     assert src.latest_batch(spark, str(tmp_path), "file").endswith("run_ts=b/1.json")
 
 
