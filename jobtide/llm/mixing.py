@@ -72,9 +72,8 @@ def copies(
     new = ("size", "source_size", "target", "copies")
     size = F.coalesce(size, F.lit(0)).cast("long")
     kept = [c for c in docs.columns if c.lower() not in new]
-    sized = docs.select(
-        *kept, size.alias("size"), (size if measure is None else measure).cast("double").alias("_measure")
-    )
+    sized = docs.select(*kept, size.alias("size"), *([] if measure is None else [measure.alias("_measure")]))
+    sized = sized.withColumn("_measure", F.col("size" if measure is None else "_measure").cast("double"))
     narrow = sized.select(
         F.col(source).alias("source"), F.col(key).alias("key"), "size", F.coalesce("_measure", F.lit(0.0)).alias("m")
     )

@@ -62,8 +62,8 @@ def op5_html_extraction(spark, sf_dir):
 
 @query
 def op6_mixing(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    mixed = mixing.copies(docs, F.size(words(F.col("text"))))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.size(words(F.col("text"))).alias("size"))
+    mixed = mixing.copies(saved(docs, "sizes"), F.col("size"))  # texts are read once
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 

@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 
 #: A word is a run of anything but these; bytes.split() splits at the same six.
 SPACES = " \t\n\x0b\x0c\r"
-WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def words(text: Column) -> Column:
     """Words of a text, as an array; null and blank texts have none."""
-    flat = F.trim(F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES)))
-    return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " +"))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
