@@ -78,18 +78,18 @@ def copies(
         F.col(source).alias("source"), F.col(key).alias("key"), "size", F.coalesce("_measure", F.lit(0.0)).alias("m")
     )
     by = targets(narrow, weights, most)
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    whole = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
     by = by.withColumn("whole", whole.cast("long"))
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     by = by.withColumn("rest", F.when(F.col("whole") >= most, 0.0).otherwise(rest))
-    share = F.col("rest") / F.col("source_size")
-    by = by.withColumn("odds", share / (1 - share) / (F.col("source_size") / F.col("source_docs")))
+    share = F.try_divide("rest", "source_size")
+    by = by.withColumn("odds", F.try_divide(F.try_divide(share, 1 - share), F.try_divide("source_size", "source_docs")))
 
     u = _uniform(F.col("key"), seed)
     ranked = narrow.filter("size > 0 and m > 0").join(
         by.filter("rest > 0").withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))
     )
-    ranked = ranked.withColumn("rank", u / (1 - u) / (F.col("odds") * F.col("m")))
+    ranked = ranked.withColumn("rank", F.try_divide(u / (1 - u), F.col("odds") * F.col("m")))
     ranked = ranked.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS))
     counts = ranked.groupBy("source", "bin", "rest").agg(F.sum("size").alias("in_bin"))
     upward = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -111,7 +111,7 @@ def copies(
         F.col("source").alias("_source"), "source_size", "target", "whole", "odds", "edge", "inner_cut"
     )
     u = _uniform(F.col(key), seed)
-    rank = u / (1 - u) / (F.col("odds") * F.col("_measure"))
+    rank = F.try_divide(u / (1 - u), F.col("odds") * F.col("_measure"))  # null where nothing is drawn
     drawn = (F.floor(rank / (1 + rank) * BINS) < F.col("edge")) | (rank <= F.col("inner_cut"))
     drawn = (F.col("_measure") > 0) & F.coalesce(drawn, F.lit(False))
     taken = F.when(F.col("size") > 0, F.col("whole") + F.when(drawn, 1).otherwise(0)).otherwise(0)
