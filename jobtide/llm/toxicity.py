@@ -25,8 +25,29 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 SUBSTITUTED, DROPPED, DOUBLED = 1.0, 1.0, 1.0
 N = 28  # boundary, a to z, any other letter
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_][ ._*\-]{1,2}){2,}[^\W_](?![^\s.,;:!?])")
-_INSIDE = re.compile(r"[^\W_]*(.)\1\1|[^\W\d_][^\w\s]+[^\W\d_]|[^\W\d_].*\d|\d.*[^\W\d_]|^[@$!|+(€£][^\W\d_]|_", re.S)
-_ENDS = re.compile(r"^[^\w@$!|+(€£]+|[\W_]+$")
+_TRIPLE = re.compile(r"(.)\1\1", re.S)
+_SIGN_INSIDE = re.compile(r"[^\W\d_][^\w\s]+[^\W\d_]|_")
+_LEADING = "@$!|+(€£"
+
+
+def core(token: str) -> str:
+    """A token without the signs around it; one that may stand for a first letter stays."""
+    i, j = 0, len(token)
+    while i < j and not token[j - 1].isalnum():
+        j -= 1
+    while i < j and not token[i].isalnum() and token[i] not in _LEADING:
+        i += 1
+    return token[i:j]
+
+
+def suspicious(token: str) -> bool:
+    """Whether a token may have gone through the channel: letters with digits or signs, or three of a kind."""
+    if _TRIPLE.search(token):
+        return True
+    if token.isalpha():
+        return False
+    letters, digits = any(map(str.isalpha, token)), any(map(str.isdigit, token))
+    return letters and (digits or token[:1] in _LEADING or bool(_SIGN_INSIDE.search(token)))
 
 
 def symbol(c: str) -> int:
@@ -91,10 +112,11 @@ class Restorer:
         return out
 
     def decode(self, token: str) -> str:
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # of each pair of last symbols the cheapest way there, as a chain of letters
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for found in self.options(token):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (p, q), (cost, done) in states.items():
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (p, q), (cost, chain) in states.items():
                 for letters, price in found:
                     a, b, c = p, q, cost + price
                     for x in letters:
@@ -102,14 +124,19 @@ class Restorer:
                         c -= self.model[a][b][s]
                         a, b = b, s
                     if (a, b) not in after or c < after[a, b][0]:
-                        after[a, b] = (c, done + letters)
+                        after[a, b] = (c, (chain, letters))
             states = after
-        return min((c - self.model[a][b][0], done) for (a, b), (c, done) in states.items())[1]
+        end = min(states, key=lambda s: (states[s][0] - self.model[s[0]][s[1]][0], s))
+        out, chain = [], states[end][1]
+        while chain is not None:
+            chain, letters = chain
+            out.append(letters)
+        return "".join(reversed(out))
 
     def word(self, token: str) -> str:
         """A token of a text in lower case, restored."""
-        token = _ENDS.sub("", token)
-        return self.decode(token) if _INSIDE.search(token) else token
+        token = core(token)
+        return self.decode(token) if suspicious(token) else token
 
     def tokens(self, text: str | None) -> set[str]:
         """The distinct tokens of a text in lower case, spaced words joined; these need not be words yet."""
