@@ -111,16 +111,11 @@ def known(sentences: dict[str, str]) -> dict[str, str]:
     return out
 
 
-def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
-    """Identifiers of a text's known sentences, in order."""
-    table = known(sentences)
-    ids = F.create_map(*[x for s, i in table.items() for x in (F.lit(s), F.lit(i))])
-    least, most = min(map(len, table)), max(map(len, table))
-    parts = F.filter(F.split(text, ENDS), lambda s: F.length(s).between(least, 4 * most))
-    plain = F.transform(parts, lambda s: F.lower(F.trim(F.regexp_replace(s, SIGNS, " "))))
-    wanted = F.array_intersect(plain, F.array(*map(F.lit, table)))  # most texts have none, and are done here
-    found = F.transform(F.filter(plain, lambda s: F.array_contains(wanted, s)), lambda s: ids[s])
-    return F.when(F.size(wanted) > 0, found).otherwise(F.array().cast("array<string>"))
+def plain_sentences(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
+    """A text's normalised sentences, without those too short or too long to be known."""
+    lengths = [len(s) for s in known(sentences)]
+    parts = F.filter(F.split(text, ENDS), lambda s: F.length(s).between(min(lengths), 4 * max(lengths)))
+    return F.transform(parts, lambda s: F.lower(F.trim(F.regexp_replace(s, SIGNS, " "))))
 
 
 def recognise(
@@ -132,10 +127,11 @@ def recognise(
     is not recognised. Columns of one of the new names are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in ("sentence_ids", "licences", "unmatched")]
-    ids = sentence_ids(F.coalesce(F.col(text), F.lit("")), sentences)
+    named = known(sentences)
+    ids = F.create_map(*[x for s, i in named.items() for x in (F.lit(s), F.lit(i))])
     table = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("," + ",,".join(seq) + ",").alias("seq")) for name, seq in rules])
     start = F.struct(
-        F.concat(F.lit(","), F.array_join("sentence_ids", ",,"), F.lit(",")).alias("left"), F.array().cast("array<string>").alias("found")
+        F.concat(F.lit(","), F.array_join("ids", ",,"), F.lit(",")).alias("left"), F.array().cast("array<string>").alias("found")
     )
 
     def apply(acc, rule):
@@ -145,11 +141,19 @@ def recognise(
             F.when(hit, F.concat(acc["found"], F.array(rule["name"]))).otherwise(acc["found"]).alias("found"),
         )
 
-    out = docs.select(*kept, ids.alias("sentence_ids"))
-    matched = F.when(F.size("sentence_ids") > 0, F.aggregate(table, start, apply))
-    out = out.select(*kept, "sentence_ids", matched.alias("_m"))
+    # the row travels as one struct, so no name of its can clash
     none = F.array().cast("array<string>")
-    left = F.filter(F.split("_m.left", ","), lambda s: s != "")
+    # step by step, as a lambda computes again what it refers to, unless that is a column
+    plain = plain_sentences(F.coalesce(F.col(text), F.lit("")), sentences)
+    out = docs.select(F.struct(*kept).alias("row"), plain.alias("plain"))
+    out = out.select("row", "plain", F.array_intersect("plain", F.array(*map(F.lit, named))).alias("held"))
+    found = F.transform(F.filter("plain", lambda s: F.array_contains("held", s)), lambda s: ids[s])
+    out = out.select("row", F.when(F.size("held") > 0, found).otherwise(none).alias("ids"))
+    out = out.select("row", "ids", F.when(F.size("ids") > 0, F.aggregate(table, start, apply)).alias("m"))
+    left = F.filter(F.split("m.left", ","), lambda s: s != "")
     return out.select(
-        *kept, "sentence_ids", F.array_distinct(F.coalesce("_m.found", none)).alias("licences"), F.coalesce(left, none).alias("unmatched")
+        "row.*",
+        F.col("ids").alias("sentence_ids"),
+        F.array_distinct(F.coalesce("m.found", none)).alias("licences"),
+        F.coalesce(left, none).alias("unmatched"),
     )
