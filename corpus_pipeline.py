@@ -30,8 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = bagminhash.classes(docs)
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept")
-    again = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").limit(1).isEmpty()
-    return left if again else left.dropDuplicates(["doc_id"])
+    unique = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").limit(1).isEmpty()
+    return left if unique else left.dropDuplicates(["doc_id"])
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

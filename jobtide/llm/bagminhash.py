@@ -11,8 +11,9 @@ the probability of their weighted Jaccard similarity.
 Equal word sequences are one node. Nodes that agree in a band of the signature are
 candidates. In each bucket all members are verified against one leader; that settles large
 groups of copies. Where that leaves several components in one bucket, further leaders
-follow, those with most links first, and what then is left of a bucket is compared pair by
-pair, so that no candidate link between different components goes untested.
+follow, those with most links first. What then is still apart in a bucket, all members
+outside its largest component, is compared with all members in blocks, and only links come
+out, so that no candidate link between different components goes untested.
 """
 
 from __future__ import annotations
@@ -35,8 +36,10 @@ SIMILARITY = 0.8
 #: 25 bands of 5 rows: a pair of similarity 0.8 is missed once in 20,000.
 COMPONENTS, ROWS = 128, 5
 BANDS = COMPONENTS // ROWS
-#: Buckets up to this size may be compared pair by pair.
+#: Buckets up to this size are compared pair by pair.
 SMALL = 16
+#: Members of a larger bucket are compared in blocks of so many.
+BLOCK = 512
 
 
 def shingles(text: bytes, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -166,11 +169,40 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(compare, "a binary, b binary")
 
 
+def _crossed(split: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between members of different components of a bucket, found block by block."""
+    blocks = (F.floor((F.col("c") - 1) / BLOCK) + 1).cast("int")
+    columns = ("bucket", "block", "node", "label", "packed")
+    packed = texts.withColumnRenamed("node", "w")
+    rows = split.select("bucket", "node", "label", "hub", blocks.alias("blocks")).join(packed, F.col("node") == F.col("w"))
+    members = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(*columns)
+    asked = rows.filter("label != hub").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = asked.select(*[F.col(c).alias(c) for c in columns])  # columns of their own, for the cogroup
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        bags = [shingles(zlib.decompress(p)) for p in right["packed"].to_pylist()]
+        nodes, labels = right["node"].to_pylist(), right["label"].to_pylist()
+        out = []
+        if bags and left.num_rows:
+            hashes, counts = (np.concatenate([b[i] for b in bags]) for i in (0, 1))
+            starts = np.cumsum([0, *(len(b[0]) for b in bags[:-1])])
+            sizes = np.array([b[1].sum() for b in bags])
+            for node, label, p in zip(*(left[c].to_pylist() for c in ("node", "label", "packed")), strict=True):
+                own, weights = shingles(zlib.decompress(p))
+                at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+                both = np.add.reduceat(np.where(own[at] == hashes, np.minimum(weights[at], counts), 0), starts)
+                near = both >= least * np.maximum(1, sizes + weights.sum() - both)
+                out += [(max(node, nodes[i]), min(node, nodes[i])) for i in np.flatnonzero(near) if labels[i] != label]
+        return pa.table([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return asked.groupBy("bucket", "block").cogroup(members.groupBy("bucket", "block")).applyInArrow(compare, "a binary, b binary")
+
+
 def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text", rounds: int = 4) -> DataFrame:
+def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text", rounds: int = 2) -> DataFrame:
     """(key, class_id, n_shingles) of each row of ``docs``; a class is a connected component of links of similarity ``least`` or more.
 
     class_id is the smallest key of the class. Null, empty and blank texts have no words:
@@ -192,31 +224,33 @@ def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", tex
     links = saved(_verified(pairs, texts, least), "links")
     groups = live.filter("c > 2").select("bucket", "node", "n")
     labels = components(links)
-    for turn in range(rounds + 1):
-        split = _split(groups, labels)
-        final = turn == rounds
-        small = split.filter((F.col("c") <= SMALL) | F.lit(final))
-        left, right = small.select("bucket", "node", "n", "label", "hub"), small.select("bucket", F.col("node").alias("o"), F.col("n").alias("on"), F.col("label").alias("ol"))
+    for turn in range(rounds):
+        split = saved(_split(groups, labels), "split")
+        if split.isEmpty():
+            break
+        small = split.filter(F.col("c") <= SMALL)
+        right = small.select("bucket", F.col("node").alias("o"), F.col("n").alias("on"), F.col("label").alias("ol"))
         # every pair of two components has a member outside the hub
-        cross = left.filter("label != hub").join(right, "bucket").filter((F.col("label") != F.col("ol")) & close(F.col("n"), F.col("on")))
-        more = _pairs(cross, "node", "o")
-        if not final:
-            large = saved(split.filter(F.col("c") > SMALL), "large")
-            degree = links.select(F.explode(F.array("a", "b")).alias("d")).groupBy("d").agg(F.count("*").alias("k"))
-            ranked = large.join(degree, F.col("node") == F.col("d"), "left")
-            pick = F.max(F.struct(F.coalesce("k", F.lit(0)).alias("k"), F.xxhash64("node", "bucket", F.lit(turn)).alias("r"), "node", "n", "label")).alias("l")
-            chosen = ranked.groupBy("bucket").agg(pick).select("bucket", F.col("l.node").alias("o"), F.col("l.n").alias("on"), F.col("l.label").alias("ol"))
-            by_leader = large.join(chosen, "bucket").filter((F.col("label") != F.col("ol")) & close(F.col("n"), F.col("on")))
-            more = more.union(_pairs(by_leader, "node", "o"))
-        fresh = saved(more.distinct().join(tested, ["a", "b"], "left_anti"), "fresh")
-        if not fresh.isEmpty():
-            tested = tested.union(fresh)
-            links = links.union(saved(_verified(fresh, texts, least), "links"))
+        cross = small.filter("label != hub").join(right, "bucket").filter((F.col("label") != F.col("ol")) & close(F.col("n"), F.col("on")))
+        groups = split.filter(F.col("c") > SMALL)
+        degree = links.select(F.explode(F.array("a", "b")).alias("d")).groupBy("d").agg(F.count("*").alias("k"))
+        ranked = groups.join(degree, F.col("node") == F.col("d"), "left")
+        pick = F.max(F.struct(F.coalesce("k", F.lit(0)).alias("k"), F.xxhash64("node", "bucket", F.lit(turn)).alias("r"), "node", "n", "label")).alias("l")
+        chosen = ranked.groupBy("bucket").agg(pick).select("bucket", F.col("l.node").alias("o"), F.col("l.n").alias("on"), F.col("l.label").alias("ol"))
+        by_leader = groups.join(chosen, "bucket").filter((F.col("label") != F.col("ol")) & close(F.col("n"), F.col("on")))
+        more = _pairs(cross, "node", "o").union(_pairs(by_leader, "node", "o")).distinct()
+        fresh = saved(more.join(tested, ["a", "b"], "left_anti"), "fresh")
+        found = saved(_verified(fresh, texts, least), "links")
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components(links)
+        tested = tested.union(fresh)
+        groups = groups.select("bucket", "node", "n")
+    else:
+        split = saved(_split(groups, labels), "split")
+        if not split.isEmpty():
+            links = links.union(saved(_crossed(split, texts, least).distinct(), "links"))
             labels = components(links)
-        elif final or large.isEmpty():
-            break
-        if not final:
-            groups = large.select("bucket", "node", "n")
     known = rows.select(key, "node", "n").join(labels.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left")
     known = known.withColumn("label", F.coalesce("label", "node"))
     named = known.groupBy("label").agg(F.min(key).alias("class_id"))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.text import saved
 
+#: Up to so many links are worked on in one task, without a shuffle; more are dealt out.
+FEW = 250_000
+
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One step: links (a > b) of each node to larger (or to smaller) neighbours go to its smallest neighbour instead."""
@@ -27,8 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node in ``links`` (a, b); a label is the smallest node of the component.
 
     Large stars and small stars in turn (Kiveris et al.) end after about log n rounds.
-    Every round is written to the shared folder. Links from a node to itself and null ends
-    are ignored.
+    Every round is written to the shared folder, and rounds over ``FEW`` links or fewer are
+    one task each. Links from a node to itself and null ends are ignored.
     """
     ordered = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = saved(ordered, "links")
@@ -38,6 +41,7 @@ def components(links: DataFrame) -> DataFrame:
         if seen == mark:
             break
         mark = seen
-        edges = saved(_stars(_stars(edges, True), False), "links")
+        dealt = edges.coalesce(1) if seen[0] <= FEW else edges
+        edges = saved(_stars(_stars(dealt, True), False), "links")
     found = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return found.union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
