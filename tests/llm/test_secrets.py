@@ -16,7 +16,7 @@ TEXTS = [
     "token=" + "ab" * 30 + "😀token=" + "cd" * 30,
     "-----BEGIN RSA PRIVATE KEY-----\nMIIabc+/=\n-----END RSA PRIVATE KEY----- tail",
     "https://user:pa55word@host.example/ and eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSM",
-    "pass word tok en key api",
+    "pass word tok en ke y ap i",
 ]
 
 
