@@ -26,12 +26,22 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class; a row that repeats another's id and words counts as its copy."""
-    found = bagminhash.classes(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept"))).drop("_kept")
-    unique = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").limit(1).isEmpty()
-    return left if unique else left.dropDuplicates(["doc_id"])
+    """The document with the smallest id of each class, null the largest, then by words.
+
+    A row that repeats another's id and words counts as its copy; rows that share an id,
+    or have none, but differ in words are documents of their own.
+    """
+    found = saved(bagminhash.members(docs), "members")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("l")
+    kept = found.groupBy("label").agg(least).select(F.col("l.doc_id").alias("_kept"), F.col("l.node").alias("_of"))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_node") == F.col("_of"))
+    left = bagminhash.noded(docs, "_node").join(kept, same).drop("_kept", "_of")
+    unique = found.groupBy("doc_id", "node").agg(F.count("*").alias("n")).filter("n > 1").limit(1).isEmpty()
+    if not unique:
+        # the copy that stays does not depend on the order of rows
+        row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+        left = left.groupBy("doc_id", "_node").agg(row).select("row.*")
+    return left.select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

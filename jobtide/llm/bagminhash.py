@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from jobtide.llm.components import components
 from jobtide.llm.text import mix64, saved, window_hashes, word_hashes
@@ -209,6 +210,26 @@ def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", tex
     they are copies of each other. Texts of fewer than five words are near only to equal
     ones. Rows with equal keys are rows of their own; an empty table gives no rows.
     """
+    known = members(docs, least, key, text, rounds)
+    named = known.groupBy("label").agg(F.min(key).alias("class_id"))
+    return known.join(named, "label").select(key, "class_id", F.col("n").alias("n_shingles"))
+
+
+def noded(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
+    """``docs`` with the digest of each row's words as a column ``name``."""
+    at = docs.columns.index(text)
+    schema = StructType([*docs.schema.fields, StructField(name, BinaryType())])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [_node((t or "").encode()) for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(add, schema)
+
+
+def members(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text", rounds: int = 2) -> DataFrame:
+    """(key, node, n, label) of each row of ``docs``: the digest of its words, their number of shingles and the class, as in ``classes``."""
     rows = saved(signed(docs, key, text), "signed")
     nodes = saved(rows.groupBy("node").agg(F.min(key).alias(key), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
     member = nodes.select("node", "n", F.explode("bands").alias("band"))
@@ -252,9 +273,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", tex
             links = links.union(saved(_crossed(split, texts, least).distinct(), "links"))
             labels = components(links)
     known = rows.select(key, "node", "n").join(labels.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left")
-    known = known.withColumn("label", F.coalesce("label", "node"))
-    named = known.groupBy("label").agg(F.min(key).alias("class_id"))
-    return known.join(named, "label").select(key, "class_id", F.col("n").alias("n_shingles"))
+    return known.select(key, "node", "n", F.coalesce("label", "node").alias("label"))
 
 
 def _split(groups: DataFrame, labels: DataFrame) -> DataFrame:

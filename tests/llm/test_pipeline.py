@@ -62,3 +62,18 @@ def test_run_on_odd_documents(spark, tmp_path):
 def test_repeated_rows_leave_one(spark):
     docs = frame(spark, [(1, "a b c"), (1, "a b c"), (2, "a b c"), (None, "x y"), (7, "z")])
     assert sorted(rows(pipeline.near_duplicates(spark, docs, "").select("doc_id")), key=str) == [(1,), (7,), (None,)]
+
+
+def test_rows_that_share_an_id_or_have_none_are_told_apart_by_words(spark):
+    say = lambda w: " ".join(f"{w}{i}" for i in range(30))
+    docs = [(None, say("a")), (None, say("b")), (None, say("b")), (3, say("c")), (3, say("d")), (2, say("c") + " more"), (None, say("c")), (9, None), (8, " ")]
+    got = pipeline.near_duplicates(spark, frame(spark, docs).repartition(3), "")
+    # the row (3, c) goes, as 2 is of its class, though another row of id 3 stays
+    want = [(None, say("a")), (None, say("b")), (3, say("d")), (2, say("c") + " more"), (8, " ")]
+    assert sorted(rows(got.select("doc_id", "text")), key=str) == sorted(want, key=str)
+
+
+def test_the_copy_that_stays_is_fixed(spark):
+    docs = frame(spark, [(1, "a b", "en", s, 3) for s in "pqrstu"])
+    got = [rows(pipeline.near_duplicates(spark, docs.orderBy(o).coalesce(n), "")) for o, n in (("source", 1), (F.desc("source"), 1), ("source", 3))]
+    assert len(got[0]) == 1 and got[0] == got[1] == got[2]
