@@ -1,7 +1,7 @@
 """Licence recognition by sentences and rules.
 
-A text is cut into sentences, these are normalised, and known ones become identifiers. The
-sequence of identifiers is matched against ordered rules, longer ones first; what a rule
+Known sentences are looked for in the text, whatever signs and line breaks stand between
+their words, and become identifiers. The sequence of identifiers is matched against ordered rules, longer ones first; what a rule
 has matched is taken out, so that a licence is not found again inside another.
 
 All of it is DataFrame work within a row: nothing is shuffled.
@@ -85,7 +85,7 @@ RULES = (
     ("CC0-1.0", ("Cc0",)),
 )
 
-#: A sentence ends at a line's end, or at a stop that white space follows.
+#: What divides a text into lines and sentences, where no sentence goes on over a line's end.
 ENDS = r"\n|[.!?]+[\x20\x09-\x0D]+"
 #: What divides the words of a normalised sentence.
 SIGNS = r"[^A-Za-z0-9]+"
@@ -111,11 +111,24 @@ def known(sentences: dict[str, str]) -> dict[str, str]:
     return out
 
 
+def pattern(sentences: dict[str, str]) -> str:
+    """A regular expression of any known sentence in a text, with the signs before it.
+
+    A sentence starts and ends with the text, a line, a stop, a semicolon or a colon; inside
+    there may be line breaks and comment signs, but no stop that white space follows. The
+    longest is taken. Signs are passed over once, so time is linear in a run of them.
+    """
+    sign, space = "[^A-Za-z0-9]", r"[\x20\x09-\x0D]"
+    end = rf"(?={sign}*?(?:\n|[.!?;:]{space}))"
+    gap = rf"(?!{sign}*?[.!?]{space}){sign}++"
+    known_ones = "|".join(s.replace(" ", gap) for s in sorted(known(sentences), key=lambda s: (-len(s), s)))
+    return rf"(?i)(?:\A|(?<=[A-Za-z0-9]){end}){sign}*+(?:{known_ones})(?![A-Za-z0-9])(?:{end}|(?={sign}*+\z))"
+
+
 def plain_sentences(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
-    """A text's normalised sentences, without those too short or too long to be known."""
-    lengths = [len(s) for s in known(sentences)]
-    parts = F.filter(F.split(text, ENDS), lambda s: F.length(s).between(min(lengths), 4 * max(lengths)))
-    return F.transform(parts, lambda s: F.lower(F.trim(F.regexp_replace(s, SIGNS, " "))))
+    """The known sentences of a text, normalised, in order."""
+    found = F.regexp_extract_all(text, F.lit(pattern(sentences)), F.lit(0))
+    return F.transform(found, lambda s: F.lower(F.trim(F.regexp_replace(s, SIGNS, " "))))
 
 
 def recognise(
@@ -123,8 +136,8 @@ def recognise(
 ) -> DataFrame:
     """``docs`` with sentence_ids, licences (in order of rules, each rule once) and unmatched, the known sentences no rule took.
 
-    Null, empty and blank texts have none. Long sentences need their whole text: a part
-    is not recognised. Columns of one of the new names are replaced.
+    Null, empty and blank texts have none. Long sentences need their whole text, wrapped or
+    not: a part is not recognised. Columns of one of the new names are replaced.
     """
     kept = [c for c in docs.columns if c.lower() not in ("sentence_ids", "licences", "unmatched")]
     named = known(sentences)
@@ -146,9 +159,7 @@ def recognise(
     # step by step, as a lambda computes again what it refers to, unless that is a column
     plain = plain_sentences(F.coalesce(F.col(text), F.lit("")), sentences)
     out = docs.select(F.struct(*kept).alias("row"), plain.alias("plain"))
-    out = out.select("row", "plain", F.array_intersect("plain", F.array(*map(F.lit, named))).alias("held"))
-    found = F.transform(F.filter("plain", lambda s: F.array_contains("held", s)), lambda s: ids[s])
-    out = out.select("row", F.when(F.size("held") > 0, found).otherwise(none).alias("ids"))
+    out = out.select("row", F.transform("plain", lambda s: ids[s]).alias("ids"))
     out = out.select("row", "ids", F.when(F.size("ids") > 0, F.aggregate(table, start, apply)).alias("m"))
     left = F.filter(F.split("m.left", ","), lambda s: s != "")
     return out.select(
