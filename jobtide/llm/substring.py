@@ -9,7 +9,10 @@ share it, and so do a score of neighbours, which travel as one segment: their ha
 side by side, and what is found comes back as intervals, not as single windows. The
 smallest gram's 64 bits and 48 bits of the window's own hash must both agree.
 
-The number of buckets grows with the texts, so a bucket stays near ``per_bucket`` windows.
+The number of buckets grows with the texts. Grams that are the smallest of very many windows
+are counted first, by map tasks on what they would send; windows of those go to buckets by
+gram and window hash. Equal windows still meet, and a bucket stays near ``per_bucket`` windows
+however frequent a line is.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from jobtide.llm.text import mix64, window_hashes, word_hashes
 
 WIDTH = 50
 GRAM = 12
+#: A gram is counted in a chunk if it is the smallest of so many windows there.
+NAMED = 64
 _PARTS = ("doc", "tid", "start", "length", "least", "low", "high", "f_doc", "f_tid", "f_start", "f_end")
 _KINDS = dict(zip(_PARTS, ("<i8", "<i8", "<i4", "<i4", "<u8", "<u4", "<u2", "<i8", "<i8", "<i4", "<i4"), strict=True))
 
@@ -62,8 +67,8 @@ def _later(hashes: np.ndarray, least: np.ndarray, doc: np.ndarray) -> np.ndarray
 class _Chunk:
     """Windows of some documents, on their way to buckets."""
 
-    def __init__(self, width: int, gram: int, buckets: int):
-        self.width, self.gram, self.buckets = width, gram, buckets
+    def __init__(self, width: int, gram: int, buckets: int, hot: np.ndarray):
+        self.width, self.gram, self.buckets, self.hot = width, gram, buckets, hot
         self.parts: list[tuple] = []
         self.n = 0
 
@@ -76,25 +81,38 @@ class _Chunk:
         self.parts.append((doc, tid, hashes & np.uint64(2**48 - 1), least))
         self.n += len(hashes)
 
-    def rows(self) -> Iterator[dict]:
-        """A row for each bucket; the last also has what is found already."""
-        if not self.n:
-            return
+    def _gathered(self) -> tuple[np.ndarray, ...]:
+        """doc, tid, pos, hash and smallest gram of each window, and whether it is found already; the chunk is empty afterwards."""
         sizes = np.array([len(p[2]) for p in self.parts])
         doc = np.repeat(np.array([p[0] for p in self.parts], np.int64), sizes)
         tid = np.repeat(np.array([p[1] for p in self.parts], np.int64), sizes)
         pos = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
-        first = pos == 0
         hashes, least = (np.concatenate([p[i] for p in self.parts]) for i in (2, 3))
         self.parts, self.n = [], 0
-        found = _later(hashes, least, doc)
+        return doc, tid, pos, hashes, least, _later(hashes, least, doc)
+
+    def frequent(self, times: int) -> tuple[np.ndarray, np.ndarray]:
+        """Grams that are the smallest of ``times`` windows that go on, or more, and of how many."""
+        if not self.n:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        *_, least, found = self._gathered()
+        grams, counts = np.unique(least[~found], return_counts=True)
+        return grams[counts >= times], counts[counts >= times]
+
+    def rows(self) -> Iterator[dict]:
+        """A row for each bucket; the last also has what is found already."""
+        if not self.n:
+            return
+        doc, tid, pos, hashes, least, found = self._gathered()
+        first = pos == 0
         at = np.flatnonzero(found)
         here, there = _runs(np.diff(at, prepend=-2) != 1, first[at])
         done = {"f_doc": doc[at[here]], "f_tid": tid[at[here]], "f_start": pos[at[here]], "f_end": pos[at[there - 1]] + 1} if len(at) else {}
         left = np.flatnonzero(~found)
-        bucket = (mix64(least) % np.uint64(self.buckets)).astype(np.int32)
+        spread = np.where(np.isin(least, self.hot), mix64(hashes), np.uint64(0))
+        bucket = (mix64(least ^ spread) % np.uint64(self.buckets)).astype(np.int32)
         left = left[np.argsort(bucket[left], kind="stable")]
-        starts, ends = _runs(np.diff(left, prepend=-2) != 1, first[left], np.diff(least[left], prepend=least[left][:1]) != 0)
+        starts, ends = _runs(np.diff(left, prepend=-2) != 1, first[left], np.diff(least[left], prepend=least[left][:1]) != 0, np.diff(bucket[left], prepend=-1) != 0)
         which = bucket[left[starts]]
         edges = np.flatnonzero(np.diff(which, prepend=-1))
         for i, j in zip(edges, np.append(edges[1:], len(which)), strict=True):
@@ -117,23 +135,51 @@ def _packed(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["bucket", *_PARTS])
 
 
-def repeats(
-    docs: DataFrame, width: int = WIDTH, gram: int = GRAM, per_bucket: int = 1_000_000, per_chunk: int = 2_000_000,
-    key: str = "doc_id", text: str = "text",
-) -> DataFrame:
-    """Starts of windows that a document with a smaller key also holds: (key, tid, start, end), as half-open intervals.
-
-    ``tid`` is the hash of the text, which tells rows of equal keys apart. Rows with a null
-    key neither find nor are found.
-    """
-    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    buckets = max(8, int(size) // 6 // per_bucket + 1)
-    source = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
+def _source(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(
         F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("tid"), F.col(text).cast("binary").alias("t")
     )
 
+
+def _buckets(docs: DataFrame, text: str, per_bucket: int) -> int:
+    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    return max(8, int(size) // 6 // per_bucket + 1)
+
+
+def hot_grams(docs: DataFrame, width: int, gram: int, per_bucket: int, per_chunk: int, key: str, text: str) -> np.ndarray:
+    """Grams that are the smallest of so many windows that these would swell a bucket, ascending.
+
+    A chunk names a gram from ``NAMED`` windows on, small chunks from two on. What stays
+    unnamed is less than ``NAMED`` windows a chunk: with chunks of two million, a bucket of a
+    million would need 16,000 of them. A gram is hot from an eighth of ``per_bucket`` on.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = _Chunk(width, gram, 1, np.zeros(0, np.uint64))
+
+        def named():
+            grams, counts = chunk.frequent(max(2, min(NAMED, chunk.n // 1000)))
+            return pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts.astype(np.int64))], names=["gram", "n"])
+
+        for batch in batches:
+            for k, tid, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                chunk.add(k, tid, t)
+                if chunk.n >= per_chunk:
+                    yield named()
+        yield named()
+
+    named = _source(docs, key, text).mapInArrow(count, "gram long, n long")
+    most = named.groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(2, per_bucket // 8))
+    return np.array(sorted(r["gram"] for r in most.select("gram").collect()), np.int64).view(np.uint64)
+
+
+def _moved(docs: DataFrame, width: int, gram: int, per_bucket: int, per_chunk: int, key: str, text: str) -> DataFrame:
+    """Windows of all documents on their way: a row for each chunk and bucket."""
+    buckets = _buckets(docs, text, per_bucket)
+    hot = hot_grams(docs, width, gram, per_bucket, per_chunk, key, text)
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = _Chunk(width, gram, buckets)
+        chunk = _Chunk(width, gram, buckets, hot)
         for batch in batches:
             for k, tid, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 chunk.add(k, tid, t)
@@ -142,6 +188,19 @@ def repeats(
         if rows := list(chunk.rows()):
             yield _packed(rows)
 
+    return _source(docs, key, text).mapInArrow(windows, "bucket int, " + ", ".join(f"{p} binary" for p in _PARTS))
+
+
+def repeats(
+    docs: DataFrame, width: int = WIDTH, gram: int = GRAM, per_bucket: int = 1_000_000, per_chunk: int = 2_000_000,
+    key: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """Starts of windows that a document with a smaller key also holds: (key, tid, start, end), as half-open intervals.
+
+    ``tid`` is the hash of the text, which tells rows of equal keys apart. Rows with a null
+    key neither find nor are found.
+    """
+
     def found(table: pa.Table) -> pa.Table:
         got = {p: np.concatenate([np.frombuffer(b.as_py(), _KINDS[p]) for b in table.column(p)]) for p in _PARTS}
         length, n = got["length"], int(got["length"].sum())
@@ -155,7 +214,7 @@ def repeats(
         out = [np.concatenate([a.astype(np.int64), b.astype(np.int64)]) for a, b in zip(out, (got[p] for p in _PARTS[-4:]), strict=True)]
         return pa.table(out, names=[key, "tid", "start", "end"])
 
-    moved = source.mapInArrow(windows, "bucket int, " + ", ".join(f"{p} binary" for p in _PARTS))
+    moved = _moved(docs, width, gram, per_bucket, per_chunk, key, text)
     return moved.groupBy("bucket").applyInArrow(found, f"`{key}` long, tid long, start long, end long")
 
 

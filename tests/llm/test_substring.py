@@ -90,3 +90,17 @@ def test_hashes_do_not_depend_on_place():
     for width in (1, 2, 7, 39):
         want = [values[i : i + width].min() for i in range(len(values) - width + 1)]
         assert substring.sliding_min(values, width).tolist() == want
+
+
+def test_a_common_line_is_dealt_to_many_buckets(spark):
+    line = " ".join(f"p{i}" for i in range(30))
+    docs = [(k, " ".join(f"u{k}x{i}" for i in range(25)) + f" {line} " + " ".join(f"v{k // 2}x{i}" for i in range(40))) for k in range(600)]
+    df = frame(spark, docs, "doc_id long, text string").repartition(6)
+    assert got(df, 50, per_bucket=1000) == brute(docs, 50)
+    assert len(substring.hot_grams(df, 50, 12, 1000, 2_000_000, "doc_id", "text")) > 0
+    moved = substring._moved(df, 50, 12, 1000, 2_000_000, "doc_id", "text")
+    held = {}
+    for r in moved.select("bucket", "low").collect():
+        held[r["bucket"]] = held.get(r["bucket"], 0) + len(r["low"]) // 4
+    # windows spread evenly, though most hold the line
+    assert max(held.values()) < 1.5 * sum(held.values()) / len(held)
