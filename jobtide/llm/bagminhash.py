@@ -12,8 +12,8 @@ Equal word sequences are one node. Nodes that agree in a band of the signature a
 candidates. In each bucket all members are verified against one leader; that settles large
 groups of copies. Where that leaves several components in one bucket, further leaders
 follow, those with most links first. What then is still apart in a bucket, all members
-outside its largest component, is compared with all members in blocks, and only links come
-out, so that no candidate link between different components goes untested.
+outside its largest component, is compared with all members of near sizes; both sides are
+dealt into blocks of bounded size, and only links come out, so that no candidate link between different components goes untested.
 """
 
 from __future__ import annotations
@@ -39,8 +39,10 @@ COMPONENTS, ROWS = 128, 5
 BANDS = COMPONENTS // ROWS
 #: Buckets up to this size are compared pair by pair.
 SMALL = 16
-#: Members of a larger bucket are compared in blocks of so many.
-BLOCK = 512
+#: Members of a larger bucket are compared in blocks of so many, with parts of so many of those outside the largest component.
+BLOCK, PART = 512, 2048
+#: What a block and a part meet under.
+MEET = ("bucket", "mine", "theirs", "part", "block")
 
 
 def shingles(text: bytes, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -170,15 +172,36 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(compare, "a binary, b binary")
 
 
-def _crossed(split: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) between members of different components of a bucket, found block by block."""
-    blocks = (F.floor((F.col("c") - 1) / BLOCK) + 1).cast("int")
-    columns = ("bucket", "block", "node", "label", "packed")
+def _dealt(split: DataFrame, texts: DataFrame, least: float, block: int = BLOCK, part: int = PART) -> tuple[DataFrame, DataFrame]:
+    """Members outside the hub, and all members, of each bucket, dealt so that every two of near enough sizes meet under one of ``MEET``.
+
+    Sizes fall into classes, of which two texts of similarity ``least`` are in one or in
+    neighbours. About ``part`` of the former and ``block`` of the latter meet at a time.
+    """
     packed = texts.withColumnRenamed("node", "w")
-    rows = split.select("bucket", "node", "label", "hub", blocks.alias("blocks")).join(packed, F.col("node") == F.col("w"))
-    members = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(*columns)
-    asked = rows.filter("label != hub").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asked = asked.select(*[F.col(c).alias(c) for c in columns])  # columns of their own, for the cogroup
+    # a little wider than needed, so that rounding puts no pair two classes apart
+    size = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / float(np.log(1 / least) * (1 + 1e-6))).cast("int")
+    sized = split.select("bucket", "node", "label", "hub", size.alias("size"))
+    per = sized.groupBy("bucket", "size").agg(F.count("*").alias("c"), F.count(F.when(F.col("label") != F.col("hub"), 1)).alias("o"))
+    parts = lambda n, most: F.ceil(F.col(n) / most).cast("int")
+    own = per.filter("o > 0").select(F.col("bucket").alias("b"), F.col("size").alias("mine"), parts("o", part).alias("parts"))
+    other = per.select(F.col("bucket").alias("b2"), F.col("size").alias("theirs"), parts("c", block).alias("blocks"))
+    meet = own.join(other, (F.col("b") == F.col("b2")) & (F.abs(F.col("mine") - F.col("theirs")) <= 1)).drop("b2")
+    rows = sized.join(packed, F.col("node") == F.col("w"))
+    slot = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = (*MEET, "node", "label", "packed")
+    asked = rows.filter("label != hub").join(meet, (F.col("bucket") == F.col("b")) & (F.col("size") == F.col("mine")))
+    asked = asked.withColumn("part", slot("parts")).withColumn("block", every("blocks"))
+    members = rows.join(meet, (F.col("bucket") == F.col("b")) & (F.col("size") == F.col("theirs")))
+    members = members.withColumn("block", slot("blocks")).withColumn("part", every("parts"))
+    # columns of their own, for the cogroup
+    return tuple(df.select(*[F.col(c).alias(c) for c in columns]) for df in (asked, members))
+
+
+def _crossed(split: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between members of different components of a bucket, found by pairs of blocks."""
+    asked, members = _dealt(split, texts, least)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         bags = [shingles(zlib.decompress(p)) for p in right["packed"].to_pylist()]
@@ -196,7 +219,7 @@ def _crossed(split: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 out += [(max(node, nodes[i]), min(node, nodes[i])) for i in np.flatnonzero(near) if labels[i] != label]
         return pa.table([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
-    return asked.groupBy("bucket", "block").cogroup(members.groupBy("bucket", "block")).applyInArrow(compare, "a binary, b binary")
+    return asked.groupBy(*MEET).cogroup(members.groupBy(*MEET)).applyInArrow(compare, "a binary, b binary")
 
 
 def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -130,3 +131,23 @@ def test_components_equal_union_find(spark):
     assert sorted(found) == sorted((x, find(x)) for x in linked)
     assert rows(components(spark.createDataFrame([], "a long, b long"))) == []
     assert rows(components(spark.createDataFrame([(1, 1)], "a long, b long")).agg(F.count("*"))) == [(0,)]
+
+
+def test_both_sides_of_a_large_bucket_are_dealt(spark):
+    texts = near_copies(120, 8, changes=9) + near_copies(60, 9, words=60, changes=6) + near_copies(20, 10, words=20, changes=1)
+    texts += [" ".join(f"e{i}" for i in range(n)) for n in (8, 9, 44, 54, 204, 254)]  # similarity 0.8 at the edges of size classes
+    nodes = [bagminhash._node(t.encode()) for t in texts]
+    split = [(7, v, len(t.split()) - 4, nodes[0] if i < 30 else v, nodes[0], len(texts)) for i, (v, t) in enumerate(zip(nodes, texts, strict=True))]
+    split = spark.createDataFrame(split, "bucket long, node binary, n long, label binary, hub binary, c long").dropDuplicates(["node"])
+    packed = spark.createDataFrame([(v, zlib.compress(t.encode())) for v, t in zip(nodes, texts, strict=True)], "node binary, packed binary").dropDuplicates(["node"])
+    asked, members = bagminhash._dealt(split, packed, 0.8, block=10, part=20)
+    most = [df.groupBy(*bagminhash.MEET).count().agg(F.max("count")).first()[0] for df in (asked, members)]
+    assert most[0] <= 45 and most[1] <= 25
+    label = {v: nodes[0] if i < 30 else v for i, v in reversed(list(enumerate(nodes)))}
+    bags = {v: bag(t) for v, t in zip(nodes, texts, strict=True)}
+    want = {(a, b) for a in bags for b in bags if a > b and label[a] != label[b] and (both := (bags[a] & bags[b]).total()) >= 0.8 * (bags[a].total() + bags[b].total() - both)}
+    a, m = asked.withColumnRenamed("node", "x").drop("label", "packed"), members.withColumnRenamed("node", "y").drop("label", "packed")
+    met = {(max(p), min(p)) for p in ((bytes(r["x"]), bytes(r["y"])) for r in a.join(m, list(bagminhash.MEET)).collect())}
+    assert len(want) > 100 and want <= met
+    got = {(bytes(r["a"]), bytes(r["b"])) for r in bagminhash._crossed(split, packed, 0.8).distinct().collect()}
+    assert got == want
