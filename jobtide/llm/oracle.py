@@ -112,3 +112,21 @@ WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
 """
+
+
+ORACLE["op13_ngram_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), g AS (
+    SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) END AS g FROM w
+), n AS (SELECT doc_id, len(g)::BIGINT AS n FROM g), s AS (SELECT doc_id, hash(unnest(g)) AS s FROM g), links AS MATERIALIZED (
+    SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
+        JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+    GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id FROM n JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = n.doc_id
+"""
