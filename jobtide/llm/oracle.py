@@ -130,3 +130,36 @@ WITH RECURSIVE w AS (
 )
 SELECT n.doc_id, n.n AS n_shingles, c.component_id FROM n JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = n.doc_id
 """
+
+ORACLE["op11_spelling_variants"] = r"""
+WITH RECURSIVE t AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256)) AS i)
+), d AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS k, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{6,}')) AS w FROM documents) GROUP BY ALL
+), h AS (
+    SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(k || ':' || w, ''),
+        lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))),
+        lambda c, b: xor(c >> 8, t.t[xor(c & 255, b) + 1]))) AS h
+    FROM d, t
+), v AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), x AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)
+), p AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM x a JOIN x b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT x.word, v.word, v.n FROM x JOIN v ON v.word = x.rest
+    UNION SELECT v.word, x.word, x.n FROM x JOIN v ON v.word = x.rest
+), g AS (
+    SELECT word, count(*) AS c, min(struct_pack(n := -other_n, o := encode(other))) AS b FROM p GROUP BY word
+), f AS MATERIALIZED (
+    SELECT v.word, CASE WHEN -g.b.n >= 5 * v.n THEN decode(g.b.o) END AS form, v.n, coalesce(g.c, 0)::BIGINT AS n_near,
+        CASE WHEN -g.b.n >= 5 * v.n THEN (-g.b.n)::BIGINT END AS form_n FROM v LEFT JOIN g ON g.word = v.word
+), r AS (
+    SELECT word, word AS root FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT r.word, r.root FROM r JOIN f ON f.word = r.root WHERE f.form IS NULL) r ON r.word = f.word
+"""

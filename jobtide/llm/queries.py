@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from jobtide.llm import ann, bagminhash, html, license, mixing, packing, rules, secrets, setjoin, substring, toxicity
+from jobtide.llm import align, ann, bagminhash, html, license, mixing, packing, rules, secrets, setjoin, substring, toxicity, variants
 from jobtide.llm.text import saved, table, words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,16 @@ def op10_minhash(spark, sf_dir):
     return bagminhash.classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_cross_tokenizer_alignment(spark, sf_dir):
+    return align.align(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_ngram_jaccard_join(spark, sf_dir):
     return setjoin.joined(table(spark, sf_dir, "documents"))
