@@ -12,8 +12,6 @@ from jobtide.functions.salary import salary_rub
 from jobtide.functions.skills import (
     detect_skills,
     format_skills,
-    open_side,
-    pieces,
     skill_names,
     tokens,
 )
@@ -25,11 +23,9 @@ __all__ = [
     "first_number",
     "format_skills",
     "has_keys",
-    "open_side",
     "or_now",
     "parse_timestamp",
     "period_start",
-    "pieces",
     "processed_at",
     "published_date",
     "salary_rub",

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # What Python strips off a text: Unicode white space and the ASCII separators.
 _BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-_WORD_CHAR = r"[\p{L}\p{N}]"
+WORD_CHAR = r"[\p{L}\p{N}]"
+NO_WORD = r"[^\p{L}\p{N}]+"
 
 
 def skill_names(skills: Column, of_structs: bool = True) -> Column:
@@ -41,7 +42,7 @@ def detect_skills(text: Column, vocabulary: Sequence[str]) -> Column:
     def found(term: str) -> Column:
         quoted = "".join(rf"\x{{{ord(c):x}}}" if not c.isalnum() else c for c in term.lower())
         # The term comes first: what stands around it is looked at only where it occurs.
-        pattern = rf"{quoted}(?<!{_WORD_CHAR}{quoted})(?!{_WORD_CHAR})"
+        pattern = rf"{quoted}(?<!{WORD_CHAR}{quoted})(?!{WORD_CHAR})"
         return F.when(lowered.contains(term.lower()) & lowered.rlike(pattern), F.lit(term))
 
     if not vocabulary:
@@ -51,15 +52,5 @@ def detect_skills(text: Column, vocabulary: Sequence[str]) -> Column:
 
 def tokens(text: Column) -> Column:
     """Distinct lower-case words of a text, a word being letters and digits."""
-    words = F.split(F.lower(text), r"[^\p{L}\p{N}]+")
+    words = F.split(F.lower(text), NO_WORD)
     return F.array_remove(F.array_distinct(words), "")
-
-
-def pieces(text: Column | str) -> Column:
-    """Words, and each other character by itself, in their order; joined they are the text."""
-    return F.regexp_extract_all(text, F.lit(rf"{_WORD_CHAR}+|(?s:.)"), F.lit(0))
-
-
-def open_side(piece: Column) -> Column:
-    """Whether a term may end beside this piece: there is none, or it is no word."""
-    return F.coalesce(~piece.rlike(rf"^{_WORD_CHAR}"), F.lit(True))

@@ -13,6 +13,8 @@ from jobtide.operators.collection import (
 )
 from jobtide.operators.keyed import (
     append_new,
+    change_counts,
+    changes,
     deduplicate,
     key_clashes,
     latest_per_key,
@@ -41,6 +43,8 @@ __all__ = [
     "append_new",
     "by_city",
     "cap",
+    "change_counts",
+    "changes",
     "clean",
     "collection_rate",
     "count_by_day",

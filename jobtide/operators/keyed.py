@@ -100,6 +100,44 @@ def replace_rows(
     return untouched.select(target.columns).unionByName(rows.select(target.columns))
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """A digest of a row's values under these names; a null differs from any value."""
+    values = F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"})
+    return F.md5(values)
+
+
+def changes(
+    target: DataFrame,
+    source: DataFrame,
+    key: str = KEY,
+    on_duplicate: OnDuplicate = "error",
+    order_by: Sequence[Column] = (),
+) -> DataFrame:
+    """What ``upsert`` would do: the source's rows with ``change``, inserted, replaced or unchanged.
+
+    One join tells; of the target only keys and digests of the source's columns take part,
+    and a batch below the broadcast threshold leaves the target where it is. A row is
+    unchanged if all its values are equal, nulls included. Keys of the target are unique.
+    """
+    rows = deduplicate(source, key, on_duplicate, order_by)
+    named = target.select(F.col(key).alias("_key"), row_digest(source.columns).alias("_old"))
+    # the semi-join may broadcast the batch's keys; an outer join could not
+    held = named.join(distinct_keys(source, key), F.col("_key") == F.col(key), "left_semi")
+    found = rows.withColumn("_new", row_digest(source.columns)).join(held, F.col(key) == F.col("_key"), "left")
+    change = (
+        F.when(F.col("_key").isNull(), "inserted")
+        .when(F.col("_old") == F.col("_new"), "unchanged")
+        .otherwise("replaced")
+    )
+    return found.select(*source.columns, change.alias("change"))
+
+
+def change_counts(changed: DataFrame) -> DataFrame:
+    """Rows inserted, replaced and unchanged, in one row; 0 where there are none."""
+    kinds = ("inserted", "replaced", "unchanged")
+    return changed.agg(*[F.count(F.when(F.col("change") == k, 1)).alias(k) for k in kinds])
+
+
 def key_clashes(target: DataFrame, rows: DataFrame, key: str = KEY) -> DataFrame:
     """Keys that rows to be inserted share with the target or among themselves.
 

@@ -2,13 +2,15 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobtide.functions import open_side, pieces
+from jobtide.functions.skills import NO_WORD, WORD_CHAR
 from jobtide.schema import REPORTED_SKILLS
 
 TREND_DAYS = 7
+#: What a term takes in a broadcast, generously.
+TERM_BYTES = 256
 
 
 def count_by_day(df: DataFrame) -> DataFrame:
@@ -77,30 +79,79 @@ def skill_frequency(df: DataFrame) -> DataFrame:
 
 
 def skills_from_vocabulary(
-    df: DataFrame, vocabulary: DataFrame, text: str = "description", key: str = "vacancy_id"
+    df: DataFrame,
+    vocabulary: DataFrame,
+    text: str = "description",
+    key: str = "vacancy_id",
 ) -> DataFrame:
     """Pairs of posting and skill for a vocabulary kept as a table; the same as ``detect_skills``.
 
     ``vocabulary`` has a column ``skill``: words, terms with signs such as C++, or terms of
-    several words. A text is cut into words and single signs, and every run of such tokens
-    that is as long as some term meets the vocabulary in a join by equality. A term that
-    begins or ends in a letter or digit ends at a word's end, which tokens do as well; one
-    that begins or ends in a sign has no letter or digit beside it. Runs are made for the
-    lengths that occur among the terms, and a text's equal runs count once.
+    several words. A term is looked up by one of its words only, the one that the fewest texts
+    hold, and tested against the text where that word occurs. Terms of one word need no test;
+    terms of signs alone are tested in every text. A text is cut into words once to count them,
+    if there are terms to choose for, and once to look them up.
+
+    A vocabulary below the session's broadcast threshold goes to every task, and texts stay
+    where they are. Of a larger one the words meet in a join by equality; texts are moved once,
+    and only if there are terms of several words or signs to be tested in them.
     """
-    term = F.lower("skill")
-    wanted = vocabulary.where(F.col("skill") != "").select("skill", term.alias("_run")).distinct()
-    lengths = wanted.agg(F.collect_set(F.size(pieces("_run")))).scalar()
-    split = df.select(key, pieces(F.lower(text)).alias("_t"), lengths.alias("_n"))
-    split = split.select(key, "_t", F.explode("_n").alias("_n"))
-    last = F.size("_t") - F.col("_n") + 1
-    starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-
-    def run(i: Column) -> Column:
-        whole = F.array_join(F.slice("_t", i, F.col("_n")), "")
-        before, after = F.get("_t", i - 2), F.get("_t", i - 1 + F.col("_n"))
-        return F.when(open_side(before) & open_side(after), whole)
-
-    runs = F.array_compact(F.array_distinct(F.transform(starts, run)))
-    words = split.select(key, F.explode(runs).alias("_run"))
-    return words.join(wanted, "_run").select(key, "skill")
+    wanted = vocabulary.where(F.col("skill") != "").select("skill", F.lower("skill").alias("_term"))
+    anchors = _anchored(df.select(F.lower(text).alias("_text")), wanted.distinct())
+    shipped = broadcast_threshold(df.sparkSession) // TERM_BYTES
+    few = anchors.limit(shipped + 1).count() <= shipped if shipped > 0 else False
+    columns = [key, "skill"]
+    if few:
+        rows = df.select(key, F.lower(text).alias("_text"))
+        found = rows.withColumn("_word", F.explode(_words("_text"))).join(F.broadcast(anchors), "_word")
+        return found.where(F.col("_lone") | _holds("_text", "_term")).select(*columns)
+    words = df.select(F.col(key), F.explode(_words(F.lower(text))).alias("_word"))
+    candidates = words.join(anchors, "_word")
+    lone = candidates.where("_lone").select(*columns)
+    # texts without a candidate stay where they are read
+    asked = candidates.where("NOT _lone").select(F.col(key).alias("_key"), "skill", "_term").distinct()
+    found = df.select(key, F.lower(text).alias("_text")).join(asked, F.col(key).eqNullSafe(F.col("_key")))
+    return lone.unionByName(found.where(_holds("_text", "_term")).select(*columns))
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """Bytes up to which the session broadcasts a side of a join; below 0 never."""
+    said = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number = said.rstrip("bkmgtp")
+    unit = said[len(number) :].rstrip("b")
+    return int(number) << 10 * ("kmgtp".index(unit) + 1) if unit else int(number)
+
+
+def _words(text: Column | str) -> Column:
+    """Distinct words of a text in lower case, and the empty word, which every text has."""
+    column = F.col(text) if isinstance(text, str) else text
+    return F.array_distinct(F.array_append(F.split(column, NO_WORD), F.lit("")))
+
+
+def _holds(text: str, term: str) -> Column:
+    """Whether a text holds a term with no letter or digit beside it; the cheap test comes first."""
+    quoted = F.concat(F.lit("\\Q"), F.replace(F.col(term), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    pattern = F.concat(F.lit(f"(?<!{WORD_CHAR})"), quoted, F.lit(f"(?!{WORD_CHAR})"))
+    return F.contains(F.col(text), F.col(term)) & F.rlike(F.col(text), pattern)
+
+
+def _anchored(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (skill, _term) with the word each is looked up by and whether that word is all of it.
+
+    Of several words the one that the fewest ``texts`` hold is taken; terms with a word that no
+    text holds are left out, as they cannot occur.
+    """
+    own = F.array_remove(F.array_distinct(F.split("_term", NO_WORD)), "")
+    terms = wanted.select("skill", "_term", own.alias("_own"), F.col("_term").rlike(f"^{WORD_CHAR}+$").alias("_lone"))
+    several = terms.where(F.size("_own") > 1)
+    simple = terms.where(F.size("_own") <= 1).select(
+        "skill", "_term", "_lone", F.coalesce(F.get("_own", F.lit(0)), F.lit("")).alias("_word")
+    )
+    if several.isEmpty():
+        return simple
+    asked = several.select("skill", "_term", "_lone", F.size("_own").alias("_n"), F.explode("_own").alias("_word"))
+    held = texts.select(F.explode(_words("_text")).alias("_word")).join(asked.select("_word").distinct(), "_word", "left_semi")
+    counted = held.groupBy("_word").agg(F.count(F.lit(1)).alias("_texts"))
+    rarest = F.min(F.struct("_texts", "_word")).alias("_rarest")
+    chosen = asked.join(counted, "_word").groupBy("skill", "_term", "_lone", "_n").agg(rarest, F.count(F.lit(1)).alias("_held"))
+    return simple.unionByName(chosen.where("_held = _n").select("skill", "_term", "_lone", F.col("_rarest._word").alias("_word")))

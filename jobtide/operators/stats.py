@@ -30,8 +30,33 @@ def daily_stats(df: DataFrame) -> DataFrame:
         F.count("salary_rub").alias("_n"),
         F.countDistinct("city").alias("cities_count"),
     )
+    return _reported(per_day)
+
+
+def _reported(per_day: DataFrame) -> DataFrame:
+    """The report of days with their number, and sum and number of salaries."""
     half_up = F.expr("(2 * abs(_sum) + _n) div nullif(2 * _n, 0)")
     average = F.when(F.col("_sum") < 0, -half_up).otherwise(half_up).cast("int")
     return per_day.select(
         "published_date", "total_vacancies", average.alias("avg_salary"), "cities_count"
     ).orderBy(F.desc_nulls_first("published_date"))
+
+
+def day_counters(df: DataFrame) -> DataFrame:
+    """Per day and city: postings, those with a salary, and the sum of salaries. Counters of parts add up."""
+    return df.groupBy("published_date", "city").agg(
+        F.count(F.lit(1)).alias("postings"),
+        F.count("salary_rub").alias("paid"),
+        F.coalesce(F.sum(F.col("salary_rub").cast("bigint")), F.lit(0)).cast("bigint").alias("salaries"),
+    )
+
+
+def daily_from_counters(counters: DataFrame) -> DataFrame:
+    """``daily_stats`` from summed ``day_counters``; days and cities that have come to nothing do not count."""
+    per_day = counters.groupBy("published_date").agg(
+        F.sum("postings").alias("total_vacancies"),
+        F.sum("salaries").alias("_sum"),
+        F.sum("paid").alias("_n"),
+        F.count(F.when(F.col("postings") > 0, F.col("city"))).alias("cities_count"),
+    )
+    return _reported(per_day.where("total_vacancies > 0"))

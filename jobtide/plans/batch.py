@@ -10,7 +10,7 @@ from jobtide.operators.normalize import target_columns
 from jobtide.operators.validate import is_valid, reject_reasons
 from jobtide.plans.store import ORIGIN, batch_path, claim, mark
 from jobtide.schema import KEY, RATES, TARGET
-from jobtide.sources.raw import Form, parse_records, raw_records, text_reader
+from jobtide.sources.raw import Form, landed_records, parse_records
 
 
 def prepare(
@@ -95,8 +95,7 @@ def process_batch(
     anything is written, for which the files are read once more; otherwise the record of
     the later file, then the later published, wins when the store is read. ``source`` names who writes; a number belongs to the source that wrote it.
     """
-    files = text_reader(spark.read, form).load(path)
-    rows = prepare(raw_records(files, form), processed_at)
+    rows = prepare(landed_records(spark, path, form), processed_at)
     if on_duplicate == "error":
         check_unique(rows)
     return write_batch(rows, store, batch_id, source)

@@ -22,6 +22,7 @@ from jobtide.plans.adapter import (
     table,
 )
 from jobtide.plans.batch import process_batch
+from jobtide.plans.daily import refresh_days, stored_days
 from jobtide.schema import KEY, RAW, TARGET
 from jobtide.streaming import ingest_new
 
@@ -284,6 +285,29 @@ def upsert_unique(spark, sf_dir):
     return op.upsert(target, changed.unionByName(new))
 
 
+def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Postings, and a batch of which a third is new, a third changed and a third as it was."""
+    target = postings(spark, sf_dir, "title", "salary_rub", "skills").select(KEY, "title", "salary_rub", "skills")
+    by = _number() % 30
+    some = target.where(by.isin(0, 1, 2))
+    name = F.when(by == 0, F.concat(F.lit("new_"), KEY)).otherwise(F.col(KEY))
+    # a null for a value is a change, and so is a skill more
+    title = F.when((by == 1) & (_number() % 4 != 0), F.lit(None)).otherwise(F.col("title"))
+    skills = F.when((by == 1) & (_number() % 4 == 0), F.array_append("skills", F.lit(None))).otherwise(F.col("skills"))
+    return target, some.select(name.alias(KEY), title.alias("title"), "salary_rub", skills.alias("skills"))
+
+
+@query
+def upsert_changes(spark, sf_dir):
+    target, batch = _versions(spark, sf_dir)
+    return op.changes(target, batch).select(KEY, "title", "salary_rub", F.size("skills").alias("n_skills"), "change")
+
+
+@query
+def upsert_counts(spark, sf_dir):
+    return op.change_counts(op.changes(*_versions(spark, sf_dir)))
+
+
 # Collection
 
 
@@ -457,6 +481,13 @@ def read_raw_array(spark, sf_dir):
     return good.select("id", "name", F.col("salary.from").alias("salary_from"))
 
 
+@query
+def read_raw_split(spark, sf_dir):
+    path = _land_arrays(spark, _mixed(spark, sf_dir))
+    good, _ = src.read_raw(spark, path, "split")
+    return good.select("id", "name", F.col("salary.from").alias("salary_from"))
+
+
 @query
 def rejected_array(spark, sf_dir):
     # besides the misfits, elements that are no objects
@@ -566,6 +597,18 @@ def keyed_snapshot(spark, sf_dir):
     return merged
 
 
+@query
+def daily_stats_kept(spark, sf_dir):
+    # three batches, the later ones replacing rows of the earlier; counted as they come
+    landing, store, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    batches = [raw_postings(spark, sf_dir), _urgent(spark, sf_dir), _urgent(spark, sf_dir, "EUR", 3)]
+    for day, raw in enumerate(batches, 1):
+        src.land_raw(raw, landing, f"2024010{day}_000000")
+        ingest_new(spark, landing, store, checkpoint, processed_at=at("2024-01-01"))
+        refresh_days(spark, store)
+    return stored_days(spark, store)
+
+
 # Tables and views
 
 
@@ -620,3 +663,49 @@ def clustered_postings(spark, sf_dir):
     src.clustered_write(postings(spark, sf_dir, *columns[1:]).select(*columns), path)
     days = src.read_days(spark, path, dt.date(2001, 6, 15), dt.date(2001, 7, 14))
     return days.select(*columns)
+
+
+@query
+def z_ordered_postings(spark, sf_dir):
+    # looked up by either column alone
+    path = scratch(spark)
+    columns = (KEY, "city", "salary_rub", "published_date")
+    src.z_order_write(postings(spark, sf_dir, *columns[1:]).select(*columns), path)
+    back = spark.read.parquet(path)
+    by_city = back.where(F.col("city") == "GERMANY").select(*columns, F.lit("city").alias("asked"))
+    paid = back.where(F.col("salary_rub").between(20_000_000, 30_000_000))
+    return by_city.unionByName(paid.select(*columns, F.lit("salary").alias("asked")))
+
+
+@query
+def bucket_clashes(spark, sf_dir):
+    name = f"keyed_{uuid.uuid4().hex}"
+    target = postings(spark, sf_dir, "salary_rub").select(KEY, "salary_rub")
+    src.save_keyed_table(op.delete_where(target), name, KEY, 16, scratch(spark))
+    # a few postings that are there, some that are not, and some that come twice
+    batch = revisions(spark, sf_dir, "salary_rub").where(_number() % 97 == 5).select(KEY, "salary_rub")
+    batch = batch.unionByName(target.where(F.col(KEY).isin("v_33", "test_100")))
+    clashes = src.bucket_clashes(batch, name)
+    spark.sql(f"DROP TABLE {name}")  # its files stay at their place
+    return clashes
+
+
+@query
+def indexed_search(spark, sf_dir):
+    path, documents = scratch(spark), table(spark, sf_dir, "documents")
+    src.write_index(documents, path, "doc_id", ("text", "source"))
+    found = [src.find(documents, path, q, "doc_id", ("text", "source")) for q in ("mit License", "SRC7", "licensed under the")]
+    asked = [f.select("doc_id", "lang", F.lit(n).alias("query")) for n, f in enumerate(found)]
+    return op.union_pages(*asked)
+
+
+@query
+def even_slices(spark, sf_dir):
+    # one value fills nearly half of the column
+    lines = table(spark, sf_dir, "lineitem")
+    skewed = F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_quantity").cast("int"))
+    rows = lines.select(skewed.alias("quantity"), F.col("l_orderkey").alias("key"))
+    slices = src.even_slices(rows, "quantity", 8, then="key")
+    held = F.array_compact(F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(slices)]))
+    per = rows.select(F.explode(held).alias("slice")).groupBy("slice").agg(F.count("*").alias("n"))
+    return per.agg(F.sum("n").alias("rows"), (F.max("n") <= 1.5 * F.avg("n")).alias("even"))

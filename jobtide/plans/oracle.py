@@ -108,6 +108,17 @@ def _merged(*batches: str) -> str:
         WHERE title IS NOT NULL{left}{added}"""
 
 
+_VERSIONS = f"""batch AS (
+    SELECT CASE WHEN {_NUMBER} % 30 = 0 THEN 'new_' || vacancy_id ELSE vacancy_id END AS vacancy_id,
+           CASE WHEN NOT ({_NUMBER} % 30 = 1 AND {_NUMBER} % 4 <> 0) THEN title END AS title, salary_rub,
+           CASE WHEN {_NUMBER} % 30 = 1 AND {_NUMBER} % 4 = 0 THEN list_append(skills, NULL) ELSE skills END AS skills
+    FROM postings WHERE {_NUMBER} % 30 < 3
+)"""
+_CHANGE = """CASE WHEN p.vacancy_id IS NULL THEN 'inserted'
+    WHEN b.title IS NOT DISTINCT FROM p.title AND b.salary_rub IS NOT DISTINCT FROM p.salary_rub
+        AND b.skills IS NOT DISTINCT FROM p.skills THEN 'unchanged' ELSE 'replaced' END"""
+
+
 def _in(terms) -> str:
     return ", ".join(f"'{t}'" for t in terms)
 
@@ -241,6 +252,13 @@ ORACLE: dict[str, str] = {
         FROM postings
         UNION ALL
         SELECT 'new_' || vacancy_id, title, salary_rub FROM postings WHERE {_NUMBER} % 3 = 0""",
+    "upsert_changes": f"""{POSTINGS}, {_VERSIONS}
+        SELECT b.vacancy_id, b.title, b.salary_rub, CAST(len(b.skills) AS INTEGER) AS n_skills, {_CHANGE} AS change
+        FROM batch b LEFT JOIN postings p USING (vacancy_id)""",
+    "upsert_counts": f"""{POSTINGS}, {_VERSIONS}
+        SELECT count(*) FILTER (WHERE change = 'inserted') AS inserted, count(*) FILTER (WHERE change = 'replaced') AS replaced,
+               count(*) FILTER (WHERE change = 'unchanged') AS unchanged
+        FROM (SELECT {_CHANGE} AS change FROM batch b LEFT JOIN postings p USING (vacancy_id))""",
     "enrich": """
         SELECT doc_id, lang, source, quality, toxic FROM documents JOIN labels USING (doc_id)""",
     "missing_details": """
@@ -315,6 +333,10 @@ ORACLE: dict[str, str] = {
         SELECT {_ID.format(k="o_orderkey")} AS id, o_orderpriority AS name,
                CAST(floor(o_totalprice) AS INTEGER) AS salary_from
         FROM orders WHERE o_orderstatus <> 'P'""",
+    "read_raw_split": f"""
+        SELECT {_ID.format(k="o_orderkey")} AS id, o_orderpriority AS name,
+               CAST(floor(o_totalprice) AS INTEGER) AS salary_from
+        FROM orders WHERE o_orderstatus <> 'P'""",
     "rejected_array": f"""
         SELECT CASE WHEN o_orderkey % 500 = 1 THEN CAST(o_orderkey AS VARCHAR)
                     ELSE {_ID.format(k="o_orderkey")} END AS id,
@@ -336,6 +358,10 @@ ORACLE: dict[str, str] = {
     "keyed_snapshot": _merged(_paid("usd", 95, 2)),
     "ingest_two_sources": _merged(_paid("usd", 95, 2), _paid("EUR", 102, 3)),
     "ingest_array": _merged(),
+    "daily_stats_kept": f"""
+        SELECT published_date, count(*) AS total_vacancies, CAST(round(avg(salary_rub)) AS INTEGER) AS avg_salary,
+               count(DISTINCT city) AS cities_count
+        FROM ({_merged(_paid("usd", 95, 2), _paid("EUR", 102, 3))}) GROUP BY published_date""",
     "target_table": f"""{POSTINGS}, made AS (
             SELECT vacancy_id, title, salary_rub FROM postings WHERE title IS NOT NULL
             UNION ALL SELECT 'made_1', 'made', 150000
@@ -346,6 +372,23 @@ ORACLE: dict[str, str] = {
     "stats_view": f"""{POSTINGS}
         SELECT published_date, count(*) AS postings, max(salary_rub) AS most
         FROM postings GROUP BY published_date""",
+    "z_ordered_postings": f"""{POSTINGS}
+        SELECT vacancy_id, city, salary_rub, published_date, 'city' AS asked FROM postings WHERE city = 'GERMANY'
+        UNION ALL
+        SELECT vacancy_id, city, salary_rub, published_date, 'salary' AS asked FROM postings
+        WHERE salary_rub BETWEEN 20000000 AND 30000000""",
+    "bucket_clashes": f"""{POSTINGS}, batch AS (
+            SELECT {_ID.format(k="l_orderkey")} AS vacancy_id FROM lineitem WHERE l_orderkey % 97 = 5
+            UNION ALL SELECT vacancy_id FROM postings WHERE vacancy_id IN ('v_33', 'test_100')
+        )
+        SELECT vacancy_id FROM batch GROUP BY vacancy_id
+        HAVING count(*) > 1 OR vacancy_id IN (SELECT vacancy_id FROM postings WHERE NOT contains(vacancy_id, 'test_'))""",
+    "indexed_search": r"""
+        SELECT doc_id, lang, CAST(n AS INTEGER) AS query FROM documents,
+            (VALUES (0, '(^|[^\p{L}\p{N}])mit license($|[^\p{L}\p{N}])'), (1, '(^|[^\p{L}\p{N}])src7($|[^\p{L}\p{N}])'),
+                    (2, '(^|[^\p{L}\p{N}])licensed under the($|[^\p{L}\p{N}])')) q(n, p)
+        WHERE regexp_matches(lower(text), p) OR regexp_matches(lower(source), p)""",
+    "even_slices": "SELECT count(*) AS rows, TRUE AS even FROM lineitem",
     "defaults": """
         SELECT event_id, event_id % 3 <> 0 AS kept, event_id % 3 = 0 AS filled FROM events""",
     "clustered_postings": f"""{POSTINGS}

@@ -20,6 +20,9 @@ shuffles the batches and leaves the base in place. The files are in the store ei
 way and can be read without the catalog.
 """
 
+import base64
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +56,8 @@ def batch_path(store: str, batch_id: int) -> str:
 
 
 MARKER = "_COMPLETE"
+#: Who wrote a directory is in a file's name, so that one listing tells it of all of them.
+SOURCE = "_SOURCE."
 #: A bucket of the base holds so many bytes or fewer.
 BUCKET_BYTES = 1 << 30
 
@@ -69,25 +74,33 @@ def _marks(spark: SparkSession, directory: str, label: str) -> dict[int, str]:
     if not fs.exists(root):
         return {}
     jvm = spark.sparkContext._jvm
-    found = {}
-    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{directory}/{label}=*/{MARKER}")):
-        number = int(status.getPath().getParent().getName().split("=")[1])
-        stream = fs.open(status.getPath())
-        try:
-            found[number] = bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-    return dict(sorted(found.items()))
+    complete, sources = [], {}
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{directory}/{label}=*/{{{MARKER},{SOURCE}*}}")):
+        path = status.getPath()
+        number = int(path.getParent().getName().split("=")[1])
+        if path.getName() == MARKER:
+            complete.append(number)
+        else:
+            sources[number] = _said(path.getName().removeprefix(SOURCE))
+    return {n: sources.get(n, "") for n in sorted(complete)}
+
+
+def _named(text: str) -> str:
+    """A text as a part of a file's name."""
+    return base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+
+
+def _said(name: str) -> str:
+    return base64.urlsafe_b64decode(name + "=" * (-len(name) % 4)).decode()
 
 
 def mark(spark: SparkSession, directory: str, text: str = "") -> None:
-    """Declare a directory complete."""
-    path, fs = _files(spark, f"{directory}/{MARKER}")
-    stream = fs.create(path, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
+    """Declare a directory complete; ``text`` has 150 bytes at most, so that it fits a file's name."""
+    if len(text.encode()) > 150:
+        raise ValueError(f"too long for a marker: {text!r}")
+    for name in ([f"{SOURCE}{_named(text)}"] if text else []) + [MARKER]:
+        path, fs = _files(spark, f"{directory}/{name}")
+        fs.create(path, True).close()
 
 
 def batch_numbers(spark: SparkSession, store: str) -> dict[int, str]:
@@ -119,9 +132,9 @@ def claim(spark: SparkSession, store: str, batch_id: int, source: str) -> bool:
     return False
 
 
-def batches(spark: SparkSession, store: str, after: int = -1) -> DataFrame | None:
-    """Rows of the batches after a number, both good and rejected."""
-    numbers = [n for n in batch_numbers(spark, store) if n > after]
+def batches(spark: SparkSession, store: str, after: int = -1, upto: int | None = None) -> DataFrame | None:
+    """Rows of the batches after a number, and up to one if given, both good and rejected."""
+    numbers = [n for n in batch_numbers(spark, store) if n > after and (upto is None or n <= upto)]
     if not numbers:
         return None
     paths = [batch_path(store, n) for n in numbers]
@@ -149,11 +162,11 @@ def arrival_order() -> list[Column]:
     return [F.desc_nulls_last(c) for c in [*newest, *rest]]
 
 
-def _changes(spark: SparkSession, store: str, upto: int) -> DataFrame | None:
+def _changes(spark: SparkSession, store: str, upto: int, as_of: int | None = None) -> DataFrame | None:
     """Good rows of what came after a base: merged batches, and those after them."""
     columns = [*TARGET.names, *ORIGIN, "batch_id"]
     merged = latest_changes(spark, store)
-    found = batches(spark, store, after=max(upto, merged))
+    found = batches(spark, store, max(upto, merged), as_of)
     if found is not None:
         found = found.where("status = 'ok'").select(*columns)
     if merged <= upto:
@@ -171,8 +184,20 @@ def base_path(store: str, upto: int) -> str:
     return f"{store}/base/upto={upto}"
 
 
-def snapshot(spark: SparkSession, store: str, table: str | None = None) -> DataFrame:
-    """Postings as of the last complete batch."""
+def has_state(spark: SparkSession, store: str, as_of: int) -> bool:
+    """Whether the postings as of an earlier batch can still be told: no merge has taken in later ones."""
+    return max(latest_base(spark, store), latest_changes(spark, store)) <= as_of
+
+
+def scratch_path(store: str) -> str:
+    """A new place beside the data, for what is written to be read once."""
+    return f"{store}/_scratch/{uuid.uuid4().hex}"
+
+
+def snapshot(spark: SparkSession, store: str, table: str | None = None, as_of: int | None = None) -> DataFrame:
+    """Postings as of the last complete batch, or of an earlier one that ``has_state``."""
+    if as_of is not None and not has_state(spark, store, as_of):
+        raise ValueError(f"batches after {as_of} are merged: the postings as of it are not kept")
     upto = latest_base(spark, store)
     if table and upto >= 0 and spark.catalog.tableExists(f"{table}_v{upto}"):
         base = spark.read.table(f"{table}_v{upto}").select(*TARGET.names)
@@ -180,7 +205,7 @@ def snapshot(spark: SparkSession, store: str, table: str | None = None) -> DataF
         base = spark.read.schema(TARGET).parquet(base_path(store, upto)).select(*TARGET.names)
     else:
         base = spark.createDataFrame([], TARGET)
-    good = _changes(spark, store, upto)
+    good = _changes(spark, store, upto, as_of)
     if good is None:
         return base
     newest = latest_per_key(good, KEY, arrival_order()).select(*TARGET.names)

@@ -1,8 +1,9 @@
 """Raw postings from landed JSON, one bad record at a time set aside.
 
-Two forms are read. ``lines`` holds one record per line; such files split, so it
+Three forms are read. ``lines`` holds one record per line; such files split, so it
 is the form for volume. ``array`` holds one JSON array per file; such a file is
-one task and at most 2 GB of text, the limit of a string.
+one task and at most 2 GB of text, the limit of a string. ``split`` reads arrays of any
+size by many tasks, for a shuffle of their text; it is for batches only.
 """
 
 from typing import Literal
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.schema import RAW
+from jobtide.sources.arrays import split_arrays
 
-Form = Literal["array", "lines"]
+Form = Literal["array", "lines", "split"]
 
 _CORRUPT = "_corrupt_record"
 _CHECKED = T.StructType([*RAW.fields, T.StructField(_CORRUPT, T.StringType())])
@@ -82,10 +84,17 @@ def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def text_reader(reader, form: Form):
     """Options of the text source for a form; takes a batch or streaming reader."""
     if form not in ("array", "lines"):
-        raise ValueError(f"form must be 'array' or 'lines', not {form!r}")
+        raise ValueError(f"form must be 'array' or 'lines' here, not {form!r}")
     return reader.format("text").option("wholetext", form == "array")
 
 
+def landed_records(spark: SparkSession, path: str | list[str], form: Form) -> DataFrame:
+    """Text of each landed record, as in ``raw_records``, of files or directories."""
+    if form == "split":
+        return split_arrays(spark, path)
+    return raw_records(text_reader(spark.read, form).load(path), form)
+
+
 def read_raw(
     spark: SparkSession, path: str | list[str], form: Form = "lines"
 ) -> tuple[DataFrame, DataFrame]:
@@ -93,5 +102,4 @@ def read_raw(
 
     A path that does not exist raises at once.
     """
-    files = text_reader(spark.read, form).load(path)
-    return split_parsed(parse_records(raw_records(files, form)))
+    return split_parsed(parse_records(landed_records(spark, path, form)))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from test_operators import rows
 from test_sources import plan
 
+from jobtide.operators import daily_stats
 from jobtide.plans import store as st
 from jobtide.plans.batch import process_batch
+from jobtide.plans.daily import merge_days, refresh_days, stored_days
 from jobtide.schema import KEY, TARGET
 from jobtide.streaming import ingest_new
 
@@ -254,3 +256,57 @@ def test_a_batch_that_failed_after_its_write_is_replaced(spark, tmp_path):
     assert seen == [(0, 1), (0, 1), (1, 1)]
     assert current(spark, store) == [("1", "t", None), ("2", "t", None)]
     assert st.rejects(spark, store).count() == 1
+
+
+def days(spark, store):
+    return rows(stored_days(spark, store))
+
+
+def test_days_kept_as_batches_arrive(spark, tmp_path):
+    """Counters follow rows that are replaced, moved to another day or city, and repeated."""
+    landing, store, checkpoint = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "checkpoint")
+    assert days(spark, store) == [] and refresh_days(spark, store) == -1
+
+    def run(name, *postings):
+        land(landing, name, *postings)
+        ingest_new(spark, str(landing), store, checkpoint, processed_at=at())
+        return refresh_days(spark, store)
+
+    def same():
+        assert days(spark, store) == rows(daily_stats(st.snapshot(spark, store)))
+        return days(spark, store)
+
+    def one(key, salary, day, city):
+        return posting(key, salary=salary, day=day) | {"area": {"name": city}}
+
+    run("1", one("1", 10, "2024-01-01", "a"), one("2", None, "2024-01-01", "b"), one("3", 7, "2024-01-02", None))
+    assert len(same()) == 2
+    # a new day, another city, a day that has no posting left, an id twice in a batch
+    run("2", one("3", 9, "2024-01-03", "a"), one("1", 11, "2024-01-01", "b"), one("4", 1, "2024-01-03", "c"), one("4", 2, "2024-01-03", "d"))
+    assert len(same()) == 2
+    assert run("3", one("1", 11, "2024-01-01", "b")) == 2
+    same()
+    assert len(st._marks(spark, f"{store}/daily", "upto")) == 3
+    merge_days(spark, store)
+    assert len(st._marks(spark, f"{store}/daily", "upto")) == 1
+    same()
+    st.merge_batches(spark, store)
+    run("4", one("2", 5, "2024-01-05", "b"))
+    same()
+    # a merge before the refresh takes the rows before with it: all is counted anew
+    land(landing, "5", one("2", 6, "2024-01-05", "x"))
+    ingest_new(spark, str(landing), store, checkpoint, processed_at=at())
+    st.compact(spark, store)
+    assert refresh_days(spark, store) == refresh_days(spark, store) == 4
+    same()
+    with pytest.raises(ValueError, match="merged"):
+        st.snapshot(spark, store, as_of=2)
+
+
+def test_a_source_is_told_by_names_alone(spark, tmp_path):
+    store = str(tmp_path / "store")
+    first = land(tmp_path / "landing", "1", posting("1"))
+    process_batch(spark, first, store, 0, processed_at=at(), source="a/ö=1")
+    assert st.batch_numbers(spark, store) == {0: "a/ö=1"}
+    with pytest.raises(ValueError, match="too long"):
+        st.mark(spark, store, "x" * 151)

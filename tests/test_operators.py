@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from jobtide import functions as fn
 from jobtide import operators as op
+from jobtide.operators.market import broadcast_threshold
 from jobtide.schema import RAW, TARGET
 from jobtide.sources import from_rows
 
@@ -391,3 +392,50 @@ def test_both_vocabulary_forms_agree(spark, data):
     listed = df.select("k", F.explode(fn.detect_skills(F.col("text"), terms)).alias("skill"))
     words = spark.createDataFrame([(t,) for t in terms], "skill string")
     assert rows(op.skills_from_vocabulary(df, words, "text", "k")) == rows(listed)
+
+
+def test_changes_of_an_upsert(spark):
+    schema = "vacancy_id string, title string, skills array<string>, n int"
+    target = spark.createDataFrame([("1", "a", ["x"], 1), ("2", None, [], None), ("3", "c", None, 3), ("4", "d", [None], 4)], schema)
+    batch = spark.createDataFrame(
+        [("1", "a", ["x"], 1), ("2", None, [], 0), ("3", None, ["c"], 3), ("4", "d", [], 4), ("5", None, None, None)], schema
+    ).select("n", "skills", "title", "vacancy_id")
+    found = op.changes(target, batch)
+    assert rows(found, "vacancy_id", "change") == [("1", "unchanged"), ("2", "replaced"), ("3", "replaced"), ("4", "replaced"), ("5", "inserted")]
+    assert found.columns == [*batch.columns, "change"]
+    assert rows(op.change_counts(found)) == [(1, 3, 1)]
+    assert rows(op.change_counts(op.changes(target, batch.where("false")))) == [(0, 0, 0)]
+    assert rows(op.change_counts(op.changes(target.where("false"), batch))) == [(5, 0, 0)]
+    twice = batch.unionAll(batch.withColumn("n", F.col("n") + 1))
+    with pytest.raises(PySparkException, match="duplicate key"):
+        op.changes(target, twice).collect()
+    latest = op.changes(target, twice, on_duplicate="latest", order_by=[F.desc_nulls_last("n"), "title"])
+    assert rows(op.change_counts(latest)) == [(1, 4, 0)]
+
+
+def test_terms_are_looked_up_by_their_rarest_word(spark):
+    """Large vocabularies too: no term is lost where it is joined by a word."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30)] + ["++", "#", " "]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 30))) for _ in range(80)]
+    terms = sorted({"".join(rng.choice([*words, " "]) + rng.choice([" ", ""]) for _ in range(rng.randrange(1, 4))).strip() or "w1" for _ in range(120)})
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    df = df.unionAll(df.where("k < 5"))  # rows of equal keys
+    vocabulary = spark.createDataFrame([(t,) for t in [*terms, "W1 W2", "w1 w2"]], "skill string")
+    listed = df.select("k", F.explode(fn.detect_skills(F.col("text"), [*terms, "W1 W2", "w1 w2"])).alias("skill"))
+    want = rows(listed)
+    assert rows(op.skills_from_vocabulary(df, vocabulary, "text", "k")) == want
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(op.skills_from_vocabulary(df, vocabulary, "text", "k")) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.mark.parametrize(("said", "n"), [("-1", -1), ("10MB", 10 << 20), ("2g", 2 << 30), ("77b", 77), ("5", 5)])
+def test_broadcast_threshold(said, n):
+    class Session:
+        conf = {"spark.sql.autoBroadcastJoinThreshold": said}
+
+    assert broadcast_threshold(Session) == n

@@ -1,11 +1,14 @@
 """Landing, raw reading and tables."""
 
 import datetime as dt
+import decimal
 import json
 import os
+import random
 import time
 
 import pytest
+from pyarrow import parquet
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from test_operators import nullable, rows, stored
@@ -13,6 +16,7 @@ from test_operators import nullable, rows, stored
 from jobtide import sources as src
 from jobtide.schema import KEY, RAW, TARGET, target_schema
 from jobtide.sources import jdbc
+from jobtide.sources.raw import landed_records
 
 POSTINGS = [
     {
@@ -269,3 +273,205 @@ def test_jdbc_options():
 def test_nullable_is_a_copy():
     assert not TARGET[KEY].nullable
     assert nullable(TARGET)[KEY].nullable
+
+
+def split_reader(spark, path, block, form="split"):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        records = landed_records(spark, str(path), form)
+        return rows(records, "record", "_readable")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+ODD_ITEMS = [
+    {"id": 'a "quoted" } name', "x": "[{", "y": {"deep": [{"z": "}"}, []]}},
+    {"id": "back\\", "b": "\\\\", "c": "\\\"}", "d": "\n\t"},
+    5, "a } string, with \" and ,", None, [1, {"in": "list }"}], True, {}, [], "", {"e": {}},
+    {"long": "x" * 400}, {"é": "Ж}€😀"}, -1.5e3,
+]
+
+
+@pytest.mark.parametrize("block", [40, 150, 10**6])
+def test_arrays_in_many_pieces(spark, tmp_path, block):
+    """Elements of every kind, however the blocks fall: those of the form that reads a file at once."""
+    random.seed(block)
+    for i in range(4):
+        items = [random.choice(ODD_ITEMS) for _ in range(60)]
+        text = json.dumps(items, ensure_ascii=bool(i % 2), indent=[None, 1][i // 2])
+        (tmp_path / f"{i}.json").write_text("\n " * i + text + "\n" * i)
+    (tmp_path / "none.json").write_text(" [ ]\n")
+    (tmp_path / "one.json").write_text("[7]")
+    (tmp_path / "nothing.json").write_text("")
+    found = split_reader(spark, tmp_path, block)
+    # a file of nothing is no array either, but there is no text to set aside
+    whole = [r for r in split_reader(spark, tmp_path, 10**6, "array") if r[0] != "" or r[1]]
+    assert found == sorted(whole, key=repr)
+
+
+def test_one_array_is_many_tasks(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"id": str(i), "name": "n" * 90} for i in range(3000)]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        pieces = spark.read.text(str(tmp_path), lineSep="}")
+        assert pieces.rdd.getNumPartitions() > 10
+        good, rejected = src.read_raw(spark, str(tmp_path), "split")
+        assert good.select("id").distinct().count() == good.count() == 3000
+        assert rejected.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_broken_stretch_is_set_aside(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": "1"}, {"id" "2"}, {"id": "3"} {"id": "4"}, {"id": "5"}, ]')
+    (tmp_path / "b.json").write_text('{"id": "6"}')
+    good, rejected = src.read_raw(spark, str(tmp_path), "split")
+    assert rows(good, "id") == [("1",), ("3",), ("5",)]
+    assert {r[0] for r in rows(rejected, "parse_error")} == {"file is not a JSON array"}
+    assert rejected.count() == 4
+
+
+def test_split_arrays_are_for_batches(spark, tmp_path):
+    with pytest.raises(ValueError, match="form"):
+        src.raw.text_reader(spark.readStream, "split")
+
+
+def groups_to_read(path, column, low, high):
+    """Row groups whose statistics allow a value between two, and all."""
+    hit = total = 0
+    for file in path.glob("*.parquet"):
+        found = parquet.ParquetFile(file)
+        at = found.schema_arrow.names.index(column)
+        for g in range(found.metadata.num_row_groups):
+            stats = found.metadata.row_group(g).column(at).statistics
+            total += 1
+            hit += stats is not None and stats.has_min_max and stats.min <= high and stats.max >= low
+    return hit, total
+
+
+def test_z_order_serves_each_column(spark, tmp_path):
+    n = 40_000
+    df = spark.range(0, n, 1, 4).select(
+        F.col("id").cast("string").alias("vacancy_id"),
+        F.concat(F.lit("city "), F.lpad((F.abs(F.xxhash64("id")) % 400).cast("string"), 3, "0")).alias("city"),
+        F.when(F.col("id") % 10 > 0, (F.abs(F.xxhash64("id", F.lit(1))) % 1_000_000).cast("int")).alias("salary_rub"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        src.z_order_write(df, str(tmp_path / "z"))
+        src.clustered_write(df.withColumn("published_date", F.lit(dt.date(2024, 1, 1))), str(tmp_path / "c"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.parquet(str(tmp_path / "z"))
+    assert rows(back) == rows(df)
+    city, total = groups_to_read(tmp_path / "z", "city", "city 037", "city 037")
+    salary, _ = groups_to_read(tmp_path / "z", "salary_rub", 500_000, 501_000)
+    assert total >= 64
+    # about the root of 64 either way, where an order by one column alone serves only that one
+    assert city <= 20 and salary <= 20
+    assert back.where("city = 'city 037'").count() == df.where("city = 'city 037'").count()
+
+
+def test_z_order_of_odd_columns(spark, tmp_path):
+    schema = "s string, d date, t timestamp, n decimal(9,2), b boolean, a array<int>"
+    some = [("é", dt.date(1960, 1, 1), dt.datetime(2024, 1, 1), 1, True, [1]), (None, None, None, None, None, None), ("", dt.date(2024, 1, 1), None, -5, False, None)]
+    df = spark.createDataFrame([(a, b, c, None if d is None else decimal.Decimal(d), e, f) for a, b, c, d, e, f in some], schema)
+    src.z_order_write(df, str(tmp_path / "z"), ("s", "d", "t", "n", "b"), bits=3)
+    assert spark.read.parquet(str(tmp_path / "z")).count() == 3
+    src.z_order_write(df.where("false"), str(tmp_path / "none"), ("s", "d"))
+    assert spark.read.schema(schema).parquet(str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError, match="no order"):
+        src.z_order(df, ["a"])
+    with pytest.raises(ValueError, match="62"):
+        src.z_order(df, ["s", "d"], 40)
+    # equal values lie side by side, and larger ones never before smaller
+    ones = spark.range(0, 1000).select((F.col("id") % 100).alias("x"))
+    placed = ones.select("x", src.z_order(ones, ["x"], 4).alias("z")).distinct().orderBy("x").collect()
+    assert len(placed) == 100 and [r["z"] for r in placed] == sorted(r["z"] for r in placed) and placed[-1]["z"] == 15
+
+
+def keyed(spark, name, n, buckets, path):
+    df = spark.range(n).select(F.concat(F.lit("k"), "id").alias(KEY), F.lit("t" * 40).alias("title"))
+    src.save_keyed_table(df, name, KEY, buckets, path)
+
+
+def test_clashes_are_looked_for_in_their_buckets(spark, tmp_path):
+    batch = spark.createDataFrame([("k5", "x"), ("new", "y"), ("new", "z"), ("other", "z"), (None, "n")], f"{KEY} string, title string")
+    read = []
+    for times in (1, 4):
+        name = f"keyed_{times}"
+        keyed(spark, name, 2000 * times, 8 * times, str(tmp_path / name))
+        beside = src.rows_beside(spark, name, batch)
+        read.append(sum(os.path.getsize(f.removeprefix("file:").removeprefix("//")) for f in beside.inputFiles()))
+        assert rows(src.bucket_clashes(batch, name)) == [("k5",), ("new",)]
+        spark.sql(f"DROP TABLE {name}")
+    # the table is four times as large; what is read is what three buckets hold
+    assert read[1] < 1.3 * read[0]
+
+
+def test_append_to_buckets(spark, tmp_path):
+    keyed(spark, "keyed_append", 300, 8, str(tmp_path / "k"))
+    new = spark.createDataFrame([("x", "n1"), ("n2", "n2")], "title string, vacancy_id string")
+    src.append_keyed(new, "keyed_append")
+    table = spark.table("keyed_append")
+    assert table.count() == 302 and rows(table.where("title = 'x'"), KEY) == [("n1",)]
+    with pytest.raises(ValueError, match="already present"):
+        src.append_keyed(new, "keyed_append")
+    # still bucketed, and a key's row is where Spark looks for it
+    assert rows(spark.table("keyed_append").where(F.col(KEY) == "n2"), "title") == [("n2",)]
+    assert rows(src.bucket_clashes(new, "keyed_append")) == [("n1",), ("n2",)]
+    spark.sql("DROP TABLE keyed_append")
+    spark.range(3).select(F.col("id").cast("string").alias(KEY)).write.saveAsTable("not_keyed")
+    assert rows(src.bucket_clashes(spark.createDataFrame([("2",)], f"{KEY} string"), "not_keyed")) == [("2",)]
+    with pytest.raises(ValueError, match="not bucketed"):
+        src.append_keyed(spark.table("not_keyed"), "not_keyed")
+    spark.sql("DROP TABLE not_keyed")
+
+
+def test_word_index(spark, tmp_path):
+    path = str(tmp_path / "i")
+    df = spark.createDataFrame(
+        [("1", "Senior DevOps engineer", None), ("2", "devops", "the Engineer"), ("3", None, None), (None, "devops engineer", ""), ("4", "engineer, DevOps: C++", "x")],
+        "vacancy_id string, title string, description string",
+    )
+    src.write_index(df, path)
+    assert rows(src.search(spark, path, "DEVOPS")) == [("1",), ("2",), ("4",)]
+    assert rows(src.search(spark, path, "engineer devops")) == [("1",), ("4",)]  # within one column
+    assert rows(src.search(spark, path, "++")) == rows(src.search(spark, path, "absent devops")) == []
+    assert rows(src.find(df, path, "devops engineer"), KEY) == [("1",)]
+    assert rows(src.find(df, path, "engineer, devops"), KEY) == [("4",)]
+    src.write_index(spark.createDataFrame([("9", "DevOps", "x")], df.schema), path, mode="append")
+    assert rows(src.search(spark, path, "devops x")) == []
+    assert rows(src.search(spark, path, "devops"))[-1] == ("9",)
+    # the index alone is read, and the words reach its scan
+    found = plan(src.search(spark, path, "devops"))
+    assert "PushedFilters: [IsNotNull(word), EqualTo(word,devops)" in found or "In(word, [devops])" in found
+
+
+@pytest.mark.parametrize("then", [None, "k"])
+def test_slices_are_even(spark, then):
+    """Every row once; on a skewed column the largest slice stays near the mean."""
+    skewed = F.when(F.col("id") % 3 == 0, 7).otherwise(F.pow(F.col("id") % 997, 3).cast("long"))
+    df = spark.range(0, 9000, 1, 4).select(F.when(F.col("id") % 50 > 0, skewed).alias("x"), F.col("id").alias("k"))
+    slices = src.even_slices(df, "x", 12, then)
+    sizes = [df.where(p).count() for p in slices]
+    assert sum(sizes) == 9000
+    assert df.where(" AND ".join(f"coalesce(NOT ({p}), TRUE)" for p in slices)).count() == 0
+    if then:
+        assert max(sizes) <= 1.5 * 9000 / len(slices)
+
+
+def test_slices_of_dates_and_of_nothing(spark):
+    df = spark.range(0, 1000).select(F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") / 10).cast("int")).alias("d"), F.lit(None).cast("int").alias("x"))
+    df = df.withColumn("t", F.col("d").cast("timestamp")).withColumn("n", F.col("x").cast("decimal(9,2)"))
+    for column in ("d", "t"):
+        sizes = [df.where(p).count() for p in src.even_slices(df, column, 5)]
+        assert sum(sizes) == 1000 and max(sizes) <= 300
+    assert src.even_slices(df, "x", 4) == src.even_slices(df, "d", 1) == ["1 = 1"]
+    with pytest.raises(ValueError, match="count"):
+        src.even_slices(df, "d", 0)
