@@ -30,7 +30,7 @@ from jobtide.operators.market import (
 )
 from jobtide.operators.normalize import normalize
 from jobtide.operators.rates import rate_join, rates_table
-from jobtide.operators.rows import delete_where, read_limit, update_where, with_salary
+from jobtide.operators.rows import computed_once, delete_where, read_limit, update_where, with_salary
 from jobtide.operators.stats import daily_stats, processing_stats
 from jobtide.operators.validate import (
     clean,
@@ -47,6 +47,7 @@ __all__ = [
     "changes",
     "clean",
     "collection_rate",
+    "computed_once",
     "count_by_day",
     "daily_stats",
     "deduplicate",

@@ -1,5 +1,6 @@
 """Market metrics over stored postings."""
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -47,13 +48,15 @@ def by_city(df: DataFrame) -> DataFrame:
     return cities.withColumn("share_pct", F.round(F.col("postings") * 100.0 / total, 2))
 
 
-def demand_trend(df: DataFrame, days: int = TREND_DAYS) -> DataFrame:
+def demand_trend(df: DataFrame, days: int = TREND_DAYS, first_day: dt.date | None = None) -> DataFrame:
     """Postings per day, change from the day before, moving average over ``days`` days.
 
     Days without postings between the first and the last count as 0 and are listed. The
-    ordered window runs over one row per calendar day, whatever the input.
+    ordered window runs over one row per calendar day, whatever the input: a posting of the
+    year 1 makes 700,000 rows in one task. With a ``first_day`` postings before it do not count.
     """
-    daily = count_by_day(df.where(F.col("published_date").isNotNull()))
+    dated = F.col("published_date").isNotNull()
+    daily = count_by_day(df.where(dated if first_day is None else F.col("published_date") >= F.lit(first_day)))
     span = daily.agg(F.min("published_date").alias("first"), F.max("published_date").alias("last"))
     every = F.explode(F.sequence("first", "last"))
     calendar = span.where("first IS NOT NULL").select(every.alias("published_date"))
@@ -100,12 +103,14 @@ def skills_from_vocabulary(
     anchors = _anchored(df.select(F.lower(text).alias("_text")), wanted.distinct())
     shipped = broadcast_threshold(df.sparkSession) // TERM_BYTES
     few = anchors.limit(shipped + 1).count() <= shipped if shipped > 0 else False
+    # words as long as none that is asked for need not be looked up
+    lengths = anchors.agg(F.collect_set(F.length("_word"))).first()[0]
     columns = [key, "skill"]
     if few:
         rows = df.select(key, F.lower(text).alias("_text"))
-        found = rows.withColumn("_word", F.explode(_words("_text"))).join(F.broadcast(anchors), "_word")
+        found = rows.withColumn("_word", F.explode(_words("_text", lengths))).join(F.broadcast(anchors), "_word")
         return found.where(F.col("_lone") | _holds("_text", "_term")).select(*columns)
-    words = df.select(F.col(key), F.explode(_words(F.lower(text))).alias("_word"))
+    words = df.select(F.col(key), F.explode(_words(F.lower(text), lengths)).alias("_word"))
     candidates = words.join(anchors, "_word")
     lone = candidates.where("_lone").select(*columns)
     # texts without a candidate stay where they are read
@@ -122,10 +127,10 @@ def broadcast_threshold(spark: SparkSession) -> int:
     return int(number) << 10 * ("kmgtp".index(unit) + 1) if unit else int(number)
 
 
-def _words(text: Column | str) -> Column:
-    """Distinct words of a text in lower case, and the empty word, which every text has."""
-    column = F.col(text) if isinstance(text, str) else text
-    return F.array_distinct(F.array_append(F.split(column, NO_WORD), F.lit("")))
+def _words(text: Column | str, lengths: Sequence[int]) -> Column:
+    """Distinct words of a text in lower case that have one of the lengths; the empty word is in every text."""
+    found = F.array_distinct(F.array_append(F.split(text, NO_WORD), F.lit("")))
+    return F.filter(found, lambda w: F.length(w).isin(list(lengths)))
 
 
 def _holds(text: str, term: str) -> Column:
@@ -150,7 +155,8 @@ def _anchored(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     if several.isEmpty():
         return simple
     asked = several.select("skill", "_term", "_lone", F.size("_own").alias("_n"), F.explode("_own").alias("_word"))
-    held = texts.select(F.explode(_words("_text")).alias("_word")).join(asked.select("_word").distinct(), "_word", "left_semi")
+    lengths = asked.agg(F.collect_set(F.length("_word"))).first()[0]
+    held = texts.select(F.explode(_words("_text", lengths)).alias("_word")).join(asked.select("_word").distinct(), "_word", "left_semi")
     counted = held.groupBy("_word").agg(F.count(F.lit(1)).alias("_texts"))
     rarest = F.min(F.struct("_texts", "_word")).alias("_rarest")
     chosen = asked.join(counted, "_word").groupBy("skill", "_term", "_lone", "_n").agg(rarest, F.count(F.lit(1)).alias("_held"))

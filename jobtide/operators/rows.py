@@ -12,6 +12,15 @@ from pyspark.sql import functions as F
 from jobtide.schema import KEY
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, whose columns are computed once however often what follows names them.
+
+    Catalyst puts a column's expression wherever the column is named: into each condition,
+    filter and sort key. Behind a generator it does not. Filters above do not reach the scan.
+    """
+    return df.select(F.explode(F.array(F.struct("*"))).alias("_row")).select("_row.*")
+
+
 def with_salary(df: DataFrame) -> DataFrame:
     """Postings with a salary."""
     return df.where(F.col("salary_rub").isNotNull())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions import has_keys
 from jobtide.operators.keyed import latest_per_key
+from jobtide.operators.rows import computed_once
 from jobtide.schema import KEY, MAX_CITY_CHARS, MAX_ID_CHARS, REQUIRED_KEYS
 
 
@@ -60,5 +61,6 @@ def newest_first(df: DataFrame) -> list[Column]:
 
 def clean(df: DataFrame) -> DataFrame:
     """Valid postings, one per id, the newest of each."""
-    valid, _ = validate_target(df)
+    # rules, group limit and sort all name the columns
+    valid, _ = validate_target(computed_once(df))
     return latest_per_key(valid, KEY, newest_first(valid))

@@ -219,7 +219,7 @@ def rejected_postings(spark, sf_dir):
 @query
 def clean_postings(spark, sf_dir):
     # the newest revision of an id may be invalid, and then an older one stands
-    cleaned = op.clean(_spoiled(revisions(spark, sf_dir), F.col("salary_rub")))
+    cleaned = op.clean(_spoiled(op.computed_once(revisions(spark, sf_dir)), F.col("salary_rub")))
     return cleaned.select(KEY, "title", "salary_rub", joined("skills"), "published_date")
 
 

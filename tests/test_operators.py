@@ -439,3 +439,17 @@ def test_broadcast_threshold(said, n):
         conf = {"spark.sql.autoBroadcastJoinThreshold": said}
 
     assert broadcast_threshold(Session) == n
+
+
+def test_trend_from_a_first_day(spark):
+    df = stored(spark, *[{"vacancy_id": str(i), "published_date": d} for i, d in enumerate([dt.date(1, 1, 1), DAY, DAY, dt.date(2024, 1, 3)])])
+    trend = rows(op.demand_trend(df, first_day=dt.date(2023, 1, 1)), "published_date", "postings")
+    assert trend == [(DAY, 2), (dt.date(2024, 1, 2), 0), (dt.date(2024, 1, 3), 1)]
+
+
+def test_computed_once(spark):
+    df = spark.range(5).select((F.col("id") * 2).alias("a"), F.lit(None).cast("string").alias("b"))
+    once = op.computed_once(df.withColumn("c", F.sqrt("a")))
+    assert rows(once) == rows(df.withColumn("c", F.sqrt("a")))
+    plan = once.where("c > 1").withColumn("d", F.col("c") + F.col("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("SQRT") == 1

@@ -475,3 +475,9 @@ def test_slices_of_dates_and_of_nothing(spark):
     assert src.even_slices(df, "x", 4) == src.even_slices(df, "d", 1) == ["1 = 1"]
     with pytest.raises(ValueError, match="count"):
         src.even_slices(df, "d", 0)
+
+
+def test_preview(spark, capsys):
+    src.preview(spark.range(30).select("id", F.repeat(F.lit("long "), 20).alias("text")), 2)
+    shown = capsys.readouterr().out
+    assert "long " * 20 in shown and "only showing top 2 rows" in shown and "|7 " not in shown
