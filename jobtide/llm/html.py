@@ -2,19 +2,20 @@
 
 A page becomes blocks of text, each with the part of the page it stands in. The token
 streams of a host's pages are concatenated and their suffixes sorted; neighbours in that
-order show which substrings of at least ``least`` tokens stand on distinct pages. What such
-substrings cover is boilerplate where the page does not say that it is the article; the
-runs between are unique and kept. Inside an article element text that several pages share
-is a passage or a copy, not boilerplate, and stays.
+order show on how many distinct pages a substring of ``least`` tokens stands. What many
+pages hold is boilerplate, and the unique runs between are kept. Inside an article element a
+passage that several pages share stays: there only whole blocks go, and only those that most
+pages of the host hold.
 
 A host's pages are dealt to shards of bounded size, so a host with a third of all pages is
-many groups; boilerplate is on most pages of a host and so repeats in each shard.
+many groups; what counts is a share of the pages, which is the same in each shard.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _MARKUP = re.compile(
-    r"<!--(?:.*?--!?>|>|->|.*\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)|([^<]+|<)",
+    r"<!--(?:.*?--!?>|>|->|.*\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|(?=[^\"'])|\Z))*)(?:>|\Z)|([^<]+|<)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -39,16 +40,25 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent notice sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments disqus newsletter subscribe share sharing social related popup modal".split()
 )
+#: Of these, names that inside an article are its head's.
+HEADINGS = frozenset("header masthead banner".split())
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
-    """Texts of a page's blocks in order, each with 2 inside an article, 1 in the rest of the body; other parts are left out."""
+    """Texts of a page's blocks in order, each with 3 inside an article, 2 beside one in the main part, 1 elsewhere in the body; other parts are left out."""
     out: list[tuple[str, int]] = []
     text: list[str] = []
     stack: list[tuple[str, bool, int]] = []  # element, left out, place
+    opened: Counter = Counter()  # of the elements on the stack
     skipped, place = False, 1
     pos, n = 0, len(page)
 
+    def leave_to(i):
+        nonlocal skipped, place
+        opened.subtract(e[0] for e in stack[i:])
+        del stack[i:]
+        skipped, place = (stack[-1][1], stack[-1][2]) if stack else (False, 1)
+
     def end_block():
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
@@ -72,11 +82,8 @@ def blocks(page: str) -> list[tuple[str, int]]:
         elif name in ("br", "hr"):
             text.append(" ")
         if m[2]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    skipped, place = (stack[-1][1], stack[-1][2]) if stack else (False, 1)
-                    break
+            if opened[name]:  # else it ends nothing
+                leave_to(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, pos)
@@ -85,35 +92,37 @@ def blocks(page: str) -> list[tuple[str, int]]:
         if name in VOID or m[4].endswith("/") and name not in BLOCKS:
             continue
         if name in ("p", "li", "dd", "dt", "tr", "td", "th", "option"):  # these end one of their own kind
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[i][0] == name:
-                    del stack[i:]
-                    skipped, place = (stack[-1][1], stack[-1][2]) if stack else (False, 1)
+                    leave_to(i)
                     break
                 if stack[i][0] in BLOCKS:
                     break
-        leave = skipped or name in SKIP or name == "header" and place == 1 or _says_so(m[4], place)
-        inside = 2 if place == 2 or name in ("article", "main") and not leave else 1
+        leave = skipped or name in SKIP or name == "header" and place == 1 or _says_so(name, m[4], place)
+        inside = place if leave else max(place, {"article": 3, "main": 2}.get(name, 1))
         stack.append((name, leave, inside))
+        opened[name] += 1
         skipped, place = leave, inside
     end_block()
     return out
 
 
-def _says_so(attributes: str, place: int) -> bool:
+def _says_so(element: str, attributes: str, place: int) -> bool:
+    """Whether an element's attributes say that it is not the article; inside one, a heading's part is its own."""
     if not attributes.strip():
         return False
+    own = HEADINGS if place > 1 else frozenset()
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id") and not NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
+        if name in ("class", "id") and element not in ("article", "main", "body", "html") and not (NAMES - own).isdisjoint(re.split(r"[^a-z]+", value)):
             return True
         if name == "role" and value.strip() in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
     return False
 
 
-def covered(streams: list[np.ndarray], least: int) -> list[np.ndarray]:
-    """Of each page's token stream, which tokens lie in a substring of ``least`` tokens that another page holds too.
+def covered(streams: list[np.ndarray], least: int, pages: int = 2) -> list[np.ndarray]:
+    """Of each page's token stream, which tokens lie in a substring of ``least`` tokens that ``pages`` pages hold, its own included.
 
     The suffixes of the concatenated streams are sorted by prefix doubling, as far as
     ``least`` tokens; a page ends in a token of its own, so no substring spans two pages.
@@ -141,12 +150,12 @@ def covered(streams: list[np.ndarray], least: int) -> list[np.ndarray]:
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new) - 1
         have += step
-    order = np.argsort(rank, kind="stable")
-    sorted_rank = rank[order]
-    starts = np.flatnonzero(np.diff(sorted_rank, prepend=-1))
-    low, high = np.minimum.reduceat(page[order], starts), np.maximum.reduceat(page[order], starts)
+    order = np.argsort(rank, kind="stable")  # within a rank by page, as suffixes stand
+    starts = np.flatnonzero(np.diff(rank[order], prepend=-1))
+    another = np.diff(page[order], prepend=-1) != 0
+    another[starts] = True
     shared = np.empty(n, bool)
-    shared[order] = np.repeat(low != high, np.diff(np.append(starts, n)))
+    shared[order] = np.repeat(np.add.reduceat(another.astype(np.int64), starts) >= pages, np.diff(np.append(starts, n)))
     edge = np.zeros(n + least + 1, np.int64)
     at = np.flatnonzero(shared)
     np.add.at(edge, at, 1)
@@ -160,16 +169,20 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def main_text(parts: list[tuple[str, int]], repeated: np.ndarray) -> str:
-    """The article of a page from its blocks and which of their tokens are repeated on other pages."""
-    marked = any(place == 2 for _, place in parts)
+def main_text(parts: list[tuple[str, int]], repeated: np.ndarray, common: np.ndarray) -> str:
+    """The article of a page from its blocks and which of their tokens are repeated on other pages, and on very many.
+
+    Where the article is marked, blocks stay whole but for those that are ``common`` to their
+    last token; elsewhere what is ``repeated`` goes and the unique runs between are kept.
+    """
+    best = max((place for _, place in parts), default=1)
     out, at = [], 0
     for text, place in parts:
         words = text.split(" ")
-        hit = repeated[at : at + len(words)]
+        hit, usual = repeated[at : at + len(words)], common[at : at + len(words)]
         at += len(words)
-        if marked:
-            if place == 2:
+        if best > 1:
+            if place == best and not usual.all():
                 out.append(text)
         elif not hit.any():
             out.append(text)
@@ -179,13 +192,19 @@ def main_text(parts: list[tuple[str, int]], repeated: np.ndarray) -> str:
 
 
 def extract(
-    pages: DataFrame, least: int = 4, per_shard: int = 256, key: str = "page_id", url: str = "url", page: str = "html"
-) -> DataFrame:
+    pages: DataFrame, least: int = 4, per_shard: int = 256, share: float = 0.25, most: float = 0.5, many: int = 8,
+    key: str = "page_id", url: str = "url", page: str = "html",
+) -> DataFrame:
     """Key, url and text of each page, one row per row of ``pages``.
 
     Null and empty pages have an empty text. Pages without a host are a host of their own.
-    Rows with equal keys are pages each on its own; an empty table gives no rows. A page
-    whose article is not marked keeps what no other page of its shard holds.
+    Rows with equal keys are pages each on its own; an empty table gives no rows.
+
+    A shard is a part of a host's pages dealt by hash, and boilerplate is told by its share of
+    them, so a host's size does not matter. A page whose article is not marked loses the runs of
+    ``least`` tokens or more that a ``share`` of the shard's pages hold, at least two. A marked
+    article loses the blocks that consist of what ``most`` of them hold, at least ``many``.
+    Pages of equal text count as one, so copies of a page leave each other alone.
     """
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]
     source = pages.select(F.col(key), F.col(url), host(F.col(url)).alias("host"), F.col(page).alias("page"))
@@ -209,7 +228,12 @@ def extract(
         parts = [list(zip(t, p, strict=True)) for t, p in zip(table["texts"].to_pylist(), table["places"].to_pylist(), strict=True)]
         known: dict[str, int] = {}
         streams = [np.array([known.setdefault(w, len(known)) for t, _ in p for w in t.split(" ")], np.int64) for p in parts]
-        texts = [main_text(p, c) for p, c in zip(parts, covered(streams, least), strict=True)]
+        first: dict[bytes, int] = {}
+        own = [first.setdefault(s.tobytes(), len(first)) for s in streams]
+        distinct = [np.frombuffer(s, np.int64) for s in first]
+        repeated = covered(distinct, least, max(2, -int(-share * len(first) // 1)))
+        common = covered(distinct, least, max(many, -int(-most * len(first) // 1)))
+        texts = [main_text(p, repeated[i], common[i]) for p, i in zip(parts, own, strict=True)]
         return table.select([key, url]).append_column("text", pa.array(texts, pa.string()))
 
     return parsed.groupBy("host", "shard").applyInArrow(choose, f"`{key}` {kinds[0]}, `{url}` {kinds[1]}, text string")

@@ -1,6 +1,7 @@
 import html as plain
 import random
 import re
+import time
 
 import numpy as np
 from conftest import TESTDATA
@@ -78,3 +79,63 @@ def test_covered_equals_plain_search():
                     if len(seen[tuple(s[i : i + least])]) > 1:
                         want[i : i + least] = True
                 assert got.tolist() == want.tolist()
+
+
+def test_quotes_in_tags(spark):
+    """A quote opens a string only as the first sign of a value."""
+    assert text(spark, "<a title=don't>one</a> two <p>three it's four</p><p>five</p>") == "one two\nthree it's four\nfive"
+    assert text(spark, "<p title = 'a > b' x=\"c > d\" y=e'f>in</p>out") == "in\nout"
+    assert text(spark, "<p title='open>gone") == ""
+
+
+def test_parts_beside_and_in_an_article(spark):
+    page = "<main><p>Latest deals today</p><article class='post banner'><div class='post-header'><h1>Title</h1></div><p>Text</p></article></main>"
+    assert text(spark, page) == "Title\nText"
+    assert text(spark, "<p>out</p><main><p>Only the main part</p></main>") == "Only the main part"
+    assert text(spark, "<div class='page-header'>no</div><p>yes</p>") == "yes"
+
+
+def test_end_tags_without_a_start_take_no_time():
+    page = "<article>" + "<b>x</i>" * 20_000
+    start = time.perf_counter()
+    assert html.blocks(page) == [("x" * 20_000, 3)]
+    assert time.perf_counter() - start < 2
+
+
+def test_a_block_on_most_pages_goes_from_marked_articles(spark):
+    """An unnamed notice goes; a passage some pages share, and copies of a whole page, stay."""
+    rng = random.Random(2)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage, bodies = say(60), [say(30) for _ in range(30)]
+    bodies[:5] = [f"{b}</p><p>{passage}" for b in bodies[:5]]
+    bodies += [bodies[9]] * 3
+    notice = "Please read our terms before you go on"
+    pages = [(i, f"https://h.example/{i}", f"<article><p>{b}</p><div>{notice}</div></article>") for i, b in enumerate(bodies)]
+    pages += [(100 + i, f"https://few.example/{i}", f"<article><p>{b}</p><div>{notice}</div></article>") for i, b in enumerate(bodies[:3])]
+    got = {r["page_id"]: r["text"] for r in html.extract(frame(spark, pages, SCHEMA)).collect()}
+    want = [b.replace("</p><p>", "\n") for b in bodies]
+    assert [got[i] for i in range(33)] == want
+    assert [got[100 + i] for i in range(3)] == [f"{b}\n{notice}" for b in want[:3]]
+
+
+def test_phrases_and_copies_stay_on_unmarked_pages(spark):
+    rng = random.Random(3)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    bodies = [f"{say(20)} at the end of the {say(20)}" if i < 4 else say(40) for i in range(40)]
+    bodies.append(bodies[7])
+    pages = [(i, f"https://h.example/{i}", f"<div>Home Products About Contact us</div><div>{b}</div>") for i, b in enumerate(bodies)]
+    pages += [(50 + i, "https://two.example/", "<div>one text two times it is</div>") for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in html.extract(frame(spark, pages, SCHEMA)).collect()}
+    assert [got[i] for i in range(41)] == bodies
+    assert got[50] == got[51] == "one text two times it is"
+
+
+def test_a_host_of_any_size_loses_the_same(spark):
+    rng = random.Random(4)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    for n in (60, 1500):
+        menu = "<div>Section one two three four five</div>"
+        bodies = [say(12) for _ in range(n)]
+        pages = [(i, "https://h.example/", f"{menu if i % 2 else ''}<div>{b}</div>") for i, b in enumerate(bodies)]
+        got = {r["page_id"]: r["text"] for r in html.extract(frame(spark, pages, SCHEMA)).collect()}
+        assert [got[i] for i in range(n)] == bodies
