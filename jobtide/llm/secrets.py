@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 import re._constants as sre
 import re._parser as parser
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -128,6 +129,25 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...], key: str = "doc_id") -
     return held.select(key, F.array_compact(F.array(*kinds)).alias("kinds")).filter(F.size("kinds") > 0)
 
 
+def running(values: Column, of: Callable[[Column, Column], Column]) -> Column:
+    """Each element of an array put together with all before it by an associative ``of``, such as a sum or a maximum.
+
+    By doubling: after step s an element stands for itself and the 2s - 1 before it, so n log n
+    elements are made, where growing an array by one at a time makes n squared.
+    """
+
+    def doubled(all_: Column) -> Column:
+        steps = F.filter(F.array(*[F.lit(1 << i) for i in range(31)]), lambda s: s < F.size(all_))
+        return F.aggregate(steps, all_, lambda acc, s: F.transform(acc, lambda x, i: F.when(i >= s, of(F.get(acc, i - s), x)).otherwise(x)))
+
+    return bound(values, doubled)
+
+
+def bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a value that is computed once, however often ``of`` names it."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
 def matches(text: Column, rule: Rule) -> Column:
     """Spans (start, end, kind) of a rule in a text, in code points, end exclusive; leftmost, non-overlapping."""
     pattern = rule.pattern
@@ -138,10 +158,6 @@ def matches(text: Column, rule: Rule) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))
     between = F.split(text, pattern, -1)
-    span = lambda s, e, ok: F.struct(
-        s.cast("long").alias("start"), e.cast("long").alias("end"), F.lit(rule.kind).alias("kind"), ok.alias("ok")
-    )
-    first = F.array(span(F.lit(0), F.lit(0), F.lit(False)))
     pieces = F.arrays_zip(
         F.transform(found, F.length).alias("m"),
         F.transform(checked, F.length).alias("g"),
@@ -149,13 +165,15 @@ def matches(text: Column, rule: Rule) -> Column:
     )
     pieces = F.filter(pieces, lambda p: p["m"].isNotNull())
 
-    def step(acc, p):
-        start = F.element_at(acc, -1)["end"] + p["b"]
-        return F.concat(acc, F.array(span(start, start + p["m"], p["g"] >= rule.least)))
+    def placed(all_: Column) -> Column:
+        # a match ends where all before it, and what stands between, ends
+        ends = running(F.transform(all_, lambda p: (p["b"] + p["m"]).cast("long")), lambda a, b: a + b)
+        spans = F.filter(F.arrays_zip(all_.alias("p"), ends.alias("e")), lambda x: x["p"]["g"] >= rule.least)
+        return F.transform(
+            spans, lambda x: F.struct((x["e"] - x["p"]["m"]).alias("start"), x["e"].alias("end"), F.lit(rule.kind).alias("kind"))
+        )
 
-    spans = F.aggregate(pieces, first, step)
-    kept = F.filter(spans, lambda s: s["ok"])
-    kept = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    kept = bound(pieces, placed)
     none = F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")
     return F.when(text.rlike(pattern), kept).otherwise(none)
 
@@ -200,13 +218,31 @@ def joined(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
     """``text`` with each stretch that spans cover replaced by ``mark``; spans may overlap."""
-    state = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
-    def step(acc, s):
-        gap = F.when(s["start"] >= acc["at"], F.concat(text.substr(acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int")), F.lit(mark)))
-        return F.struct(
-            F.concat(acc["out"], F.coalesce(gap, F.lit(""))).alias("out"), F.greatest(acc["at"], s["end"]).alias("at")
-        )
+    def marked(blocks: Column, reach: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(reach, i - 1), F.lit(0).cast("long"))
+            return F.when(s["start"] >= before, F.concat(_cut(blocks, before, s["start"]), F.lit(mark))).otherwise(F.lit(""))
+
+        return F.concat(F.array_join(F.transform(spans, piece), ""), _cut(blocks, F.element_at(reach, -1), F.length(text).cast("long")))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    # how far the spans up to each one reach; a span that begins within that is marked already
+    reach = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    whole = bound(blocks, lambda b: bound(reach, lambda r: marked(b, r)))
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
 
-    end = F.aggregate(spans, state, step, lambda acc: F.concat(acc["out"], text.substr(acc["at"].cast("int") + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, end).otherwise(text)
+
+#: Code points of a block; a place in a text is found within its block.
+BLOCK = 4096
+
+
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points [start, end) of a text that is cut into blocks."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    at, upto = (start % BLOCK).cast("int"), (end % BLOCK).cast("int")
+    block = lambda i: F.coalesce(F.get(blocks, i), F.lit(""))
+    across = F.concat(
+        F.substr(block(first), at + 1), F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""), F.substr(block(last), F.lit(1), upto)
+    )
+    return F.when(first == last, F.substr(block(first), at + 1, upto - at)).otherwise(across)

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from helpers import ODD, frame, rows
 from hypothesis import given, settings
@@ -93,3 +95,42 @@ def test_clashing_columns_empty_table_and_plan(spark):
     assert rows(secrets.scan(docs.limit(0))) == []
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def plain_redaction(text, spans, mark="[secret]"):
+    out, at = [], 0
+    for s, e in spans:
+        if s >= at:
+            out += [text[at:s], mark]
+        at = max(at, e)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_of_any_spans(spark):
+    """Spans that overlap, touch and cross the blocks that a text is cut into."""
+    rng = random.Random(5)
+    docs = []
+    for i in range(40):
+        n = rng.choice([10, 4096, 5000, 8192, 13_000])
+        text = "".join(rng.choice("aé😀b\n") for _ in range(n))
+        found = sorted((s, min(n, s + rng.choice([1, 3, 700, 4096, 9000]))) for s in rng.sample(range(n), rng.choice([1, 2, 7])))
+        docs.append((i, text, found))
+    schema = "doc_id long, text string, secrets array<struct<start: bigint, end: bigint>>"
+    got = spark.createDataFrame(docs, schema).select("doc_id", secrets.redacted(F.col("text"), F.col("secrets")))
+    assert sorted(rows(got)) == [(i, plain_redaction(t, s)) for i, t, s in docs]
+
+
+def test_time_grows_with_the_matches(spark):
+    """16,000 secrets in one text, found and masked."""
+    text = "".join(f"{i:030x} é " for i in range(16_000))
+    docs = frame(spark, [(1, text)])
+
+    def run(df):
+        found = secrets.scan(df)
+        return found.select("doc_id", F.size("secrets"), secrets.redacted(F.col("text"), F.col("secrets"))).collect()
+
+    run(frame(spark, [(1, text[:600])]))
+    start = time.perf_counter()
+    (row,) = run(docs)
+    assert time.perf_counter() - start < 4
+    assert row[1] == 16_000 and row[2] == "[secret] é " * 16_000
