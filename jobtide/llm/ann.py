@@ -1,5 +1,9 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
+The largest inner product is asked for, cells are ordered by distance. Vectors get one more
+component that makes them all equally long, and queries a zero there: the nearest is then
+the one with the largest inner product, whatever the lengths.
+
 The two halves of a vector are quantised separately, each by its own k-means codebook, so
 k centroids a half make k * k cells. A query takes cells in order of the summed distance
 of its halves to the two centroids, by a heap over centroid pairs (the multi-sequence
@@ -76,30 +80,51 @@ def search(
     key. A query visits cells until they hold ``enough`` entries or a ``share`` of all,
     whichever is more, so recall holds at any size. ``sample`` bounds the vectors the
     codebooks are fitted on. Vectors that are null, zero, or hold null or non-finite
-    components take no part, nor do those whose length is not the commonest, nor rows
-    with a null key. Rows of equal keys are candidates each on its own. An empty table
-    gives no rows; with fewer than ``k`` others, all are given.
+    components take no part, nor do rows with a null key. Vectors of different numbers of
+    components have no inner product: each number is searched by itself. Rows of equal keys
+    are candidates each on its own. An empty table gives no rows; with fewer than ``k``
+    others, all are given.
     """
     kind = vectors.schema[key].dataType.simpleString()
-    names = ["query_id", "rank", key, "score"]
     empty = vectors.sparkSession.createDataFrame([], f"query_id {kind}, rank int, `{key}` {kind}, score double")
     good = vectors.filter(valid(F.col(vector)) & F.col(key).isNotNull())
     good = good.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    lengths = good.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "d").limit(1).collect()
-    if not lengths:
-        return empty
-    dim, total = lengths[0]["d"], lengths[0]["c"]
-    good = good.filter(F.size("v") == dim)
+    largest = F.array_max(F.transform("v", F.abs))
+    kinds = good.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c"), F.max(largest).alias("m"))
+    found = empty
+    # one row for each number of components
+    for row in kinds.orderBy("d").collect():
+        own = good.filter(F.size("v") == row["d"])
+        found = found.union(_searched(own, row["d"], row["c"], row["m"], k, centroids, sample, share, enough, per_block, seed, kind, key))
+    return found
+
+
+def lifted(v: np.ndarray, most: float, largest: float, query: bool = False) -> np.ndarray:
+    """Vectors scaled by the ``largest`` component, with one more that makes the squares of each sum up to ``most``; of a query it is 0."""
+    v = v / largest
+    return np.column_stack([v, np.zeros(len(v)) if query else np.sqrt(np.maximum(0.0, most - (v**2).sum(1)))])
+
+
+def _searched(
+    good: DataFrame, dim: int, total: int, largest: float, k: int, centroids: int, sample: int, share: float,
+    enough: int, per_block: int, seed: int, kind: str, key: str,
+) -> DataFrame:
+    """``search`` among vectors (id, v, q) of ``dim`` components."""
+    names = ["query_id", "rank", key, "score"]
     half = max(1, dim // 2)
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest))
+    most = good.agg(F.max(square)).first()[0]
     # a bounded sample: the smallest hashes of ids
     taken = np.array([r["v"] for r in good.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(sample).select("v").collect()])
-    books = [kmeans(taken[:, :half], centroids, seed), kmeans(taken[:, half:], centroids, seed) if dim > half else np.zeros((1, 0))]
+    taken = lifted(taken, most, largest)
+    books = [kmeans(taken[:, :half], centroids, seed), kmeans(taken[:, half:], centroids, seed)]
 
     def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            v = lifted(v, most, largest)
             cell = [pa.array(np.argmin(_squares(p, b), axis=1).astype(np.int32)) for p, b in zip((v[:, :half], v[:, half:]), books, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *cell], names=["id", "v", "q", "i", "j"])
 
@@ -113,6 +138,7 @@ def search(
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            v = lifted(v, most, largest, query=True)
             first, second = (_squares(p, b) for p, b in zip((v[:, :half], v[:, half:]), books, strict=True))
             rows, block, cells = [], [], []
             for r in range(len(v)):

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from conftest import TESTDATA
 from helpers import rows
 from pyspark.sql import functions as F
@@ -72,3 +73,28 @@ def test_cells_come_in_order_of_summed_distance():
     got = ann.cells_in_order(a, b, sizes, 10**9)
     assert got == sorted(sizes, key=lambda c: a[c[0]] + b[c[1]])
     assert len(ann.cells_in_order(a, b, sizes, 4)) == 4
+
+
+@pytest.mark.parametrize("sigma", [0.5, 1.0])
+def test_recall_where_lengths_differ(spark, sigma):
+    """Inner products favour long vectors, wherever they lie."""
+    rng = np.random.default_rng(int(sigma * 10))
+    v = rng.normal(size=(6000, 24))
+    v *= (rng.lognormal(0, sigma, 6000) / np.linalg.norm(v, axis=1))[:, None]
+    table = [(i, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame([(i, x, None) for i, x in table], "vec_id long, embedding array<double>, label int").filter("vec_id % 3 > 0 OR vec_id % 60 = 0")
+    got = found(df, enough=200)
+    want = brute([(i, x) for i, x in table if i % 3 or i % 60 == 0])
+    assert got.keys() == want.keys() and recall(got, want) >= 0.9
+
+
+def test_numbers_of_components_are_searched_apart(spark):
+    rng = np.random.default_rng(3)
+    table = [(i, (rng.normal(size=2 + i % 3) * 10.0 ** (i % 5)).tolist()) for i in range(240)]
+    table += [(i, (v * 1e150).tolist()) for i, v in ((1000 + 20 * j, rng.normal(size=7)) for j in range(9))]
+    df = spark.createDataFrame([(i, v, None) for i, v in table], "vec_id long, embedding array<double>, label int")
+    got = found(df, share=1.0)
+    for n in (2, 3, 4, 7):
+        want = brute([t for t in table if len(t[1]) == n])
+        for q, best in want.items():
+            assert [i for i, _ in got[q]] == [i for i, _ in best]
