@@ -9,7 +9,8 @@ words are reached (Rosen's Pareto design). Inclusion odds grow with a document's
 that the last document taken, by which the target is missed, tends to be a small one.
 
 Only counts by source and by bin of rank are gathered; a rank is compared with its
-source's cutoff, so documents are neither sorted nor moved, whatever a source's size.
+source's cutoff, so documents are neither sorted nor moved, whatever a source's size: what
+there is to know of the sources, a row of each, goes to every task, if they are not too many.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: Bins of rank by which the cutoff of a source is found; only the cutoff's own bin is sorted.
 BINS = 4096
+#: A table of one row per source is broadcast up to so many sources; beyond that Spark chooses.
+SOURCES = 50_000
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -77,6 +80,8 @@ def copies(
     narrow = sized.select(
         F.col(source).alias("source"), F.col(key).alias("key"), "size", F.coalesce("_measure", F.lit(0.0)).alias("m")
     )
+    few = docs.select(source).distinct().limit(SOURCES + 1).count() <= SOURCES
+    shipped = F.broadcast if few else lambda table: table  # so that documents of one source stay where they are
     by = targets(narrow, weights, most)
     whole = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
     by = by.withColumn("whole", whole.cast("long"))
@@ -87,7 +92,7 @@ def copies(
 
     u = _uniform(F.col("key"), seed)
     ranked = narrow.filter("size > 0 and m > 0").join(
-        by.filter("rest > 0").withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))
+        shipped(by.filter("rest > 0").withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))
     )
     ranked = ranked.withColumn("rank", F.try_divide(u / (1 - u), F.col("odds") * F.col("m")))
     ranked = ranked.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS))
@@ -97,7 +102,7 @@ def copies(
     edge = counts.filter("below < rest and rest <= below + in_bin").select(
         F.col("source").alias("s2"), F.col("bin").alias("edge"), "below"
     )
-    inner = ranked.join(edge, F.col("source").eqNullSafe(F.col("s2")) & (F.col("bin") == F.col("edge")))
+    inner = ranked.join(shipped(edge), F.col("source").eqNullSafe(F.col("s2")) & (F.col("bin") == F.col("edge")))
     inner = inner.groupBy("source", "rank", "rest", "below").agg(F.sum("size").alias("together"))
     upward = Window.partitionBy("source").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     inner = inner.withColumn("upto", F.col("below") + F.sum("together").over(upward))
@@ -115,7 +120,7 @@ def copies(
     drawn = (F.floor(rank / (1 + rank) * BINS) < F.col("edge")) | (rank <= F.col("inner_cut"))
     drawn = (F.col("_measure") > 0) & F.coalesce(drawn, F.lit(False))
     taken = F.when(F.col("size") > 0, F.col("whole") + F.when(drawn, 1).otherwise(0)).otherwise(0)
-    out = sized.join(by, F.col(source).eqNullSafe(F.col("_source")), "left")
+    out = sized.join(shipped(by), F.col(source).eqNullSafe(F.col("_source")), "left")
     return out.select(*kept, "size", "source_size", "target", taken.cast("long").alias("copies"))
 
 
