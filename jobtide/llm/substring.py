@@ -70,12 +70,14 @@ class _Chunk:
     def __init__(self, width: int, gram: int, buckets: int, hot: np.ndarray):
         self.width, self.gram, self.buckets, self.hot = width, gram, buckets, hot
         self.parts: list[tuple] = []
+        self.held: set[tuple[int, int]] = set()
         self.n = 0
 
     def add(self, doc: int, tid: int, text: bytes) -> None:
         words = word_hashes(text)
-        if len(words) < self.width:
+        if len(words) < self.width or (doc, tid) in self.held:  # equal rows find the same
             return
+        self.held.add((doc, tid))
         hashes = window_hashes(words, self.width)
         least = sliding_min(window_hashes(words, self.gram), self.width - self.gram + 1)
         self.parts.append((doc, tid, hashes & np.uint64(2**48 - 1), least))
@@ -88,7 +90,7 @@ class _Chunk:
         tid = np.repeat(np.array([p[1] for p in self.parts], np.int64), sizes)
         pos = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
         hashes, least = (np.concatenate([p[i] for p in self.parts]) for i in (2, 3))
-        self.parts, self.n = [], 0
+        self.parts, self.held, self.n = [], set(), 0
         return doc, tid, pos, hashes, least, _later(hashes, least, doc)
 
     def frequent(self, times: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,7 +229,8 @@ def removed(docs: DataFrame, width: int = WIDTH, key: str = "doc_id", text: str
     """
     kind = docs.schema[key].dataType
     spans = repeats(docs, width, key=key, text=text, **options)
-    spans = spans.groupBy(F.col(key).alias("_k"), "tid").agg(F.collect_list("start").alias("s"), F.collect_list("end").alias("e"))
+    # each of a text's equal rows has found the same
+    spans = spans.distinct().groupBy(F.col(key).alias("_k"), "tid").agg(F.collect_list("start").alias("s"), F.collect_list("end").alias("e"))
     source = docs.select(F.col(key), F.col(text).cast("binary").alias("t"), F.xxhash64(text).alias("_tid"))
     both = source.join(spans, (F.col(key) == F.col("_k")) & (F.col("_tid") == F.col("tid")), "left").select(key, "t", "s", "e")
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 from conftest import TESTDATA
@@ -104,3 +105,13 @@ def test_a_common_line_is_dealt_to_many_buckets(spark):
         held[r["bucket"]] = held.get(r["bucket"], 0) + len(r["low"]) // 4
     # windows spread evenly, though most hold the line
     assert max(held.values()) < 1.5 * sum(held.values()) / len(held)
+
+
+def test_many_equal_rows(spark):
+    """Rows of one id and text find the same spans once, however many they are."""
+    passage = " ".join(f"w{i}" for i in range(80))
+    docs = [(1, passage)] + [(2, "x " + passage)] * 1500
+    got_ = substring.removed(frame(spark, docs, "doc_id long, text string").repartition(4))
+    start = time.perf_counter()
+    assert got_.groupBy("doc_id", "n_removed").count().orderBy("doc_id").collect() == [(1, 0, 1), (2, 80, 1500)]
+    assert time.perf_counter() - start < 15
