@@ -185,32 +185,34 @@ def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string")) % 3 == 1
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1) -> tuple[float, ...]:
-    """Bias and slopes of a logistic regression, by Newton's method."""
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 0.1) -> tuple[float, ...]:
+    """Bias and slopes of a logistic regression on rows that count ``times``, by Newton's method."""
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        slope = x.T @ (y - p) - penalty * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w))
+        slope = x.T @ (times * (y - p)) - penalty * w
+        curve = (x * (times * p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w))
         w = w + np.linalg.solve(curve, slope)
     return tuple(map(float, w))
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, sample: int = 20_000, most_terms: int = 2_000, least_docs: int = 5,
-    least_purity: float = 0.8, key: str = "doc_id", text: str = "text", label: str = "toxic",
+    docs: DataFrame, labels: DataFrame, sample: int = 20_000, least_docs: int = 5, least_purity: float = 0.8,
+    key: str = "doc_id", text: str = "text", label: str = "toxic",
 ) -> Model:
-    """The model: language counts over all ``docs``, terms from at most ``sample`` labelled rows that are not held out.
+    """The model: language counts over all ``docs``, terms from the texts of at most ``sample`` labelled keys that are not held out.
 
-    Where a key is labelled more than once the higher label counts. Without labels of both
-    classes no text is toxic.
+    A term is any word or stem that ``least_docs`` of the sample's toxic texts hold and that is
+    toxic by ``least_purity``; there is no limit to their number. A text is judged by the weights of
+    its three heaviest words. Where a key is labelled more than once the higher label counts; where
+    it has several rows each counts. Without labels of both classes no text is toxic.
     """
     language = language_model(docs, text)
     chosen = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(key)))
     chosen = chosen.groupBy(F.col(key).alias("_k")).agg(F.max(label).cast("int").alias("_y"))
     chosen = chosen.orderBy(F.xxhash64("_k"), "_k").limit(sample)
-    # of at most ``sample`` rows, so it may be broadcast
+    # of at most ``sample`` keys, so it may be broadcast
     rows = docs.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("_k")).select(F.col("_y").alias("y"), F.col(text).alias("t"))
 
     def found(of: int, among: frozenset[str] | None):
@@ -236,9 +238,8 @@ def learn(
     none = Model(language, {}, (-4.0, 0.0, 0.0, 0.0))
     if not size.get(0) or not size.get(1):
         return none
-    # terms of the sample's toxic texts only, the commonest first
-    toxic = found(1, None).filter(F.col("n") >= least_docs).orderBy(F.desc("n"), "term").limit(50 * most_terms).collect()
-    toxic = {r["term"]: r["n"] for r in toxic}
+    # terms of the sample's toxic texts only
+    toxic = {r["term"]: r["n"] for r in found(1, None).filter(F.col("n") >= least_docs).collect()}
     clean = {r["term"]: r["n"] for r in found(0, frozenset(toxic)).collect()}
     scored = {}
     for t, p in toxic.items():
@@ -247,10 +248,9 @@ def learn(
         purity = p * prior / (p * prior + n * (1 - prior))
         if purity >= least_purity:
             scored[t] = math.log(p / n)
-    kept = sorted(scored, key=lambda t: (-toxic[t] * scored[t], t))[:most_terms]
-    draft = Model(language, {t: scored[t] for t in kept}, ())
-    if not kept:
+    if not scored:
         return none
+    draft = Model(language, scored, ())
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stats = draft.scorer()
@@ -259,9 +259,10 @@ def learn(
             columns = [batch.column(0), *(pa.array([g[i] for g in got], pa.float64()) for i in range(3))]
             yield pa.RecordBatch.from_arrays(columns, names=["y", "a", "b", "c"])
 
-    # at most ``sample`` rows of four numbers
-    seen = np.array(rows.mapInArrow(measure, "y int, a double, b double, c double").collect(), np.float64)
-    return Model(language, draft.weights, _logistic(seen[:, 1:], seen[:, 0]))
+    # one row for each combination of weights, however many rows the keys of the sample have
+    seen = rows.mapInArrow(measure, "y int, a double, b double, c double").groupBy("y", "a", "b", "c").agg(F.count("*").alias("n"))
+    seen = np.array(sorted(map(tuple, seen.collect())), np.float64)
+    return Model(language, draft.weights, _logistic(seen[:, 1:4], seen[:, 0], seen[:, 4]))
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:

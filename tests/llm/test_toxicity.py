@@ -1,3 +1,5 @@
+import itertools
+import random
 import zlib
 
 import numpy as np
@@ -70,3 +72,35 @@ def test_the_language_model_counts_everything(spark):
     model = toxicity.language_model(docs.repartition(3))
     assert np.allclose(np.exp(model).sum(2), 1)
     assert model[0, 1, 2] > model[0, 1, 3] and toxicity.symbol("é") == 27
+
+
+def test_viterbi_equals_enumeration(model):
+    """The cheapest of all ways through the lattice, for short tokens."""
+    restorer = toxicity.Restorer(model.language)
+    rng = random.Random(6)
+
+    def price(ways):
+        a = b = 0
+        cost = 0.0
+        for letters, extra in ways:
+            cost += extra
+            for x in letters:
+                s = toxicity.symbol(x)
+                cost -= restorer.model[a][b][s]
+                a, b = b, s
+        return cost - restorer.model[a][b][0]
+
+    for _ in range(150):
+        token = "".join(rng.choice("a1d0t$3@.r!ll4") for _ in range(rng.randrange(1, 7)))
+        ways = list(itertools.product(*restorer.options(token)))
+        least = min(map(price, ways))
+        said = restorer.decode(token)
+        assert min(price(w) for w in ways if "".join(x for x, _ in w) == said) <= least + 1e-9, token
+
+
+def test_repeated_keys_count_once_a_row(spark):
+    """Rows of one labelled key come to the driver as counts, not one by one."""
+    docs = frame(spark, [(i, "bad awful" if i % 2 else "good fine") for i in range(300)] + [(4, "good fine")] * 3000, "doc_id long, text string")
+    labels = frame(spark, [(i, 1, i % 2) for i in range(300)], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, labels)
+    assert "awful" in model.weights and model.fit[0] < 0
