@@ -15,52 +15,74 @@ from jobtide.llm import bagminhash, mixing, packing, toxicity
 from jobtide.llm import secrets as secret_scans
 from jobtide.llm.text import saved, table, words
 
+
+def carried(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, and each row whole, so that no name of its other columns can clash."""
+    return docs.select(*columns, F.struct(*docs.columns).alias("row"))
+
+
 #: A document is rejected from this probability on.
 TOXIC = 0.7
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic."""
+    """Documents that are not toxic.
+
+    Null and empty texts are not. Each of several rows of one id, or of none, is judged by its own
+    text, and equal texts alike. An empty table stays empty, columns of any name stay as they are.
+    """
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, name="_score").filter(F.col("_score") < TOXIC).select(*docs.columns)
+    return toxicity.scored(carried(docs, "text"), model).filter(F.col("score") < TOXIC).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class, null the largest, then by words.
 
     A row that repeats another's id and words counts as its copy; rows that share an id,
-    or have none, but differ in words are documents of their own.
+    or have none, but differ in words are documents of their own. Null, empty and blank texts are
+    copies of each other. An empty table stays empty, columns of any name stay as they are.
     """
     found = saved(bagminhash.members(docs), "members")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("l")
     kept = found.groupBy("label").agg(least).select(F.col("l.doc_id").alias("_kept"), F.col("l.node").alias("_of"))
     same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_node") == F.col("_of"))
-    left = bagminhash.noded(docs, "_node").join(kept, same).drop("_kept", "_of")
+    left = bagminhash.noded(carried(docs, "doc_id", "text"), "_node").join(kept, same)
     unique = found.groupBy("doc_id", "node").agg(F.count("*").alias("n")).filter("n > 1").limit(1).isEmpty()
     if not unique:
         # the copy that stays does not depend on the order of rows
-        row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
-        left = left.groupBy("doc_id", "_node").agg(row).select("row.*")
-    return left.select(*docs.columns)
+        left = left.groupBy("doc_id", "_node").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return left.select("row.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets in their texts masked and n_chars counted anew where one was."""
-    found = secret_scans.scan(docs)
-    text = secret_scans.redacted(F.col("text"), F.col("secrets"))
-    masked = found.withColumn("text", text)
-    masked = masked.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-    return masked.select(*docs.columns)
+    """All documents, with secrets in their texts masked and n_chars counted anew where one was.
+
+    Null and empty texts have none. Rows of one id, or of none, are masked each by its own text. An
+    empty table stays empty, other columns of any name stay as they are.
+    """
+    found = secret_scans.scan(carried(docs, "doc_id", "text"))
+    masked = found.withColumn("text", secret_scans.redacted(F.col("text"), F.col("secrets")))
+    n_chars = F.when(F.size("secrets") > 0, F.length("text")).otherwise(F.col("row.n_chars")).cast("long")
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return masked.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, a row for each time."""
-    mixed = mixing.copies(docs.withColumn("_size", F.size(words(F.col("text")))), F.col("_size"))
-    return mixing.repeated(mixed.select(*docs.columns, "copies"))
+    """Documents as often as the mix takes them, a row for each time.
+
+    Null, empty and blank texts are never taken; a null source is a source of its own. Rows of one
+    id are taken or left together. An empty table stays empty, columns of any name stay as they are.
+    """
+    sized = carried(docs, "doc_id", "source", "text").select("doc_id", "source", F.size(words(F.col("text"))).alias("n"), "row")
+    return mixing.repeated(mixing.copies(sized, F.col("n")).select("row", "copies")).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 1024 tokens."""
+    """Pieces of all documents in sequences of at most 1024 tokens.
+
+    Null and empty texts are an end token; each of several rows of one id, or of none, is packed. An
+    empty table gives no rows.
+    """
     return packing.pack(docs)
 
 
