@@ -39,7 +39,7 @@ SMALL = 32
 PART, BLOCK = 1024, 1024
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MOST_NODES = 60_000  # of a chunk, so that a place fits two bytes
-_INDEX = "chunk long, singles binary, singles_at binary, singles_df binary, many binary, many_df binary, listed binary, listed_at binary, which array<int>, nodes binary, sizes binary"
+_INDEX = "bucket int, chunk long, singles binary, singles_at binary, singles_df binary, many binary, many_df binary, listed binary, listed_at binary, which array<int>, nodes binary, sizes binary"
 
 
 def shingle_set(text: bytes, n: int = SHINGLE) -> np.ndarray:
@@ -161,21 +161,22 @@ def _counted(docs: DataFrame, n_buckets: int, per_chunk: int, key: str, text: st
             yield packed()
 
     def shared(table: pa.Table) -> pa.Table:
-        bucket = np.uint64(table["bucket"][0].as_py())
         (singles, n_one), (at, _) = _joined(table["singles"], "five"), _joined(table["singles_at"], "<u2")
         (many, n_many), (times, _) = _joined(table["many"], "five"), _joined(table["times"], "<u2")
         values, place = np.unique(np.concatenate([singles, many]), return_inverse=True)
-        df = np.bincount(place, np.concatenate([np.ones(len(singles)), times])).astype("<u4")
-        full, frequency = values * np.uint64(n_buckets) + bucket, df[place]
+        # beyond what two bytes hold, the shingles themselves make the order
+        df = np.minimum(np.bincount(place, np.concatenate([np.ones(len(singles)), times])), 65_535).astype("<u2")
+        frequency = df[place]
         keep = frequency[: len(singles)] > 1
         row = np.repeat(np.arange(table.num_rows), n_one)[keep]
         one, several = place[: len(singles)][keep], place[len(singles) :]
         cuts = np.searchsorted(row, np.arange(1, table.num_rows))
         ends = np.cumsum(n_many)[:-1]
-        split = lambda values, at: pa.array([v.tobytes() for v in np.split(values, at)], pa.binary())
+        split = lambda values, at, put=np.ndarray.tobytes: pa.array([put(v) for v in np.split(values, at)], pa.binary())
         made = {
-            "chunk": table["chunk"], "singles": split(full[one], cuts), "singles_at": split(at[keep], cuts), "singles_df": split(df[one], cuts),
-            "many": split(full[several], ends), "many_df": split(df[several], ends),
+            "bucket": table["bucket"], "chunk": table["chunk"],
+            "singles": split(values[one], cuts, _five), "singles_at": split(at[keep], cuts), "singles_df": split(df[one], cuts),
+            "many": split(values[several], ends, _five), "many_df": split(df[several], ends),
         }
         return pa.table(made | {c: table[c] for c in ("listed", "listed_at", "which", "nodes", "sizes", "keys")})
 
@@ -201,18 +202,24 @@ def _rows(counted: DataFrame, key: str) -> DataFrame:
     return homes.mapInArrow(listed, f"`{key}` {kind.simpleString()}, node binary, n long")
 
 
-def _nodes(counted: DataFrame, percent: int) -> DataFrame:
+def _nodes(counted: DataFrame, n_buckets: int, percent: int) -> DataFrame:
     """(node, n, shared, lead) of sets whose prefix holds shared shingles: these in order, rarest first, and how many are in the prefix."""
 
     def assembled(table: pa.Table) -> pa.Table:
         join = lambda c, kind: _joined(table[c], kind)[0]
-        many, order = join("many", "<u8"), None
+        bucket = table["bucket"].to_numpy().astype(np.uint64)
+
+        def whole(c: str) -> np.ndarray:
+            short, n = _joined(table[c], "five")
+            return short * np.uint64(n_buckets) + np.repeat(bucket, n)
+
+        many = whole("many")
         order = np.argsort(many)
-        many, many_df = many[order], join("many_df", "<u4")[order]
+        many, many_df = many[order], join("many_df", "<u2")[order]
         listed = join("listed", "<u8")
-        tokens = np.concatenate([join("singles", "<u8"), listed])
+        tokens = np.concatenate([whole("singles"), listed])
         at = np.concatenate([join("singles_at", "<u2"), join("listed_at", "<u2")]).astype(np.int64)
-        df = np.concatenate([join("singles_df", "<u4"), many_df[np.searchsorted(many, listed)] if len(listed) else many_df[:0]])
+        df = np.concatenate([join("singles_df", "<u2"), many_df[np.searchsorted(many, listed)] if len(listed) else many_df[:0]])
         sizes = join("sizes", "<i4").astype(np.int64)
         nodes = join("nodes", "V16")
         tokens = tokens[np.lexsort((tokens, df, at))]
@@ -280,6 +287,8 @@ def _candidates(entries: DataFrame, percent: int, small: int) -> DataFrame:
         pairs: list[tuple[bytes, bytes]] = []
 
         def probed():
+            if len(open_) < 2:
+                return
             open_.sort(key=lambda e: (e[1], e[0]))
             pos, n = (np.array([e[i] for e in open_], np.int64) for i in (0, 1))
             pairs.extend((open_[i][2], open_[j][2]) for i, j in zip(*probe(n, pos, percent), strict=True))
@@ -435,7 +444,7 @@ def joined(
     n_buckets = max(8, int(size) // 6 // per_bucket + 1)
     counted = saved(_counted(docs, n_buckets, per_chunk, key, text), "counted")
     rows = _rows(counted, key)
-    nodes = saved(_nodes(counted, percent), "nodes")
+    nodes = saved(_nodes(counted, n_buckets, percent), "nodes")
     entries = saved(_entries(nodes), "entries")
     links = saved(_verified(_candidates(entries, percent, small), nodes, percent), "links")
     labels = components(links)
