@@ -120,11 +120,13 @@ WITH RECURSIVE w AS (
     FROM documents
 ), g AS (
     SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) END AS g FROM w
-), n AS (SELECT doc_id, len(g)::BIGINT AS n FROM g), s AS (SELECT doc_id, hash(unnest(g)) AS s FROM g), links AS MATERIALIZED (
-    SELECT x.doc_id AS a, y.doc_id AS b FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
-        JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
-    GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 85 * (p.n + q.n - count(*))
+        ELSE list_distinct(list_transform(list_zip(w, w[2:], w[3:], w[4:], true), lambda x: x[1] || ' ' || x[2] || ' ' || x[3] || ' ' || x[4])) END AS g FROM w
+), n AS MATERIALIZED (SELECT doc_id, len(g)::BIGINT AS n FROM g), s AS MATERIALIZED (SELECT doc_id, hash(unnest(g)) AS s FROM g),
+shared AS MATERIALIZED (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT l.a, l.b FROM (SELECT a, b, c FROM shared UNION ALL SELECT b, a, c FROM shared) l
+        JOIN n p ON p.doc_id = l.a JOIN n q ON q.doc_id = l.b WHERE 100 * c >= 85 * (p.n + q.n - c)
 ), reach(a, b) AS (
     SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
 )
