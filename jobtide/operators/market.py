@@ -99,21 +99,23 @@ def skills_from_vocabulary(
     where they are. Of a larger one the words meet in a join by equality; texts are moved once,
     and only if there are terms of several words or signs to be tested in them.
     """
-    wanted = vocabulary.where(F.col("skill") != "").select("skill", F.lower("skill").alias("_term"))
-    anchors = _anchored(df.select(F.lower(text).alias("_text")), wanted.distinct())
-    shipped = broadcast_threshold(df.sparkSession) // TERM_BYTES
-    few = anchors.limit(shipped + 1).count() <= shipped if shipped > 0 else False
-    # words as long as none that is asked for need not be looked up
-    lengths = anchors.agg(F.collect_set(F.length("_word"))).first()[0]
+    spark = df.sparkSession
+    wanted = vocabulary.where(F.col("skill") != "").select("skill", F.lower("skill").alias("_term")).distinct()
+    # words as long as none of the vocabulary's need not be looked up
+    lengths = wanted.select(F.explode(_own("_term"))).agg(F.collect_set(F.length("col"))).first()[0]
+    anchors = _anchored(df.select(F.lower(text).alias("_text")), wanted, lengths)
+    shipped = broadcast_threshold(spark) // TERM_BYTES
+    few = anchors.limit(shipped + 1).collect() if shipped > 0 else []
     columns = [key, "skill"]
-    if few:
+    if 0 < len(few) <= shipped:
+        # the texts have been read for these: they are not worked out again
+        anchors = spark.createDataFrame(few, anchors.schema)
         rows = df.select(key, F.lower(text).alias("_text"))
         found = rows.withColumn("_word", F.explode(_words("_text", lengths))).join(F.broadcast(anchors), "_word")
         return found.where(F.col("_lone") | _holds("_text", "_term")).select(*columns)
     words = df.select(F.col(key), F.explode(_words(F.lower(text), lengths)).alias("_word"))
     candidates = words.join(anchors, "_word")
     lone = candidates.where("_lone").select(*columns)
-    # texts without a candidate stay where they are read
     asked = candidates.where("NOT _lone").select(F.col(key).alias("_key"), "skill", "_term").distinct()
     found = df.select(key, F.lower(text).alias("_text")).join(asked, F.col(key).eqNullSafe(F.col("_key")))
     return lone.unionByName(found.where(_holds("_text", "_term")).select(*columns))
@@ -140,22 +142,24 @@ def _holds(text: str, term: str) -> Column:
     return F.contains(F.col(text), F.col(term)) & F.rlike(F.col(text), pattern)
 
 
-def _anchored(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def _own(term: str) -> Column:
+    """Distinct words of a term; the empty word if it has none."""
+    words = F.array_remove(F.array_distinct(F.split(term, NO_WORD)), "")
+    return F.when(F.size(words) > 0, words).otherwise(F.array(F.lit("")))
+
+
+def _anchored(texts: DataFrame, wanted: DataFrame, lengths: Sequence[int]) -> DataFrame:
     """``wanted`` (skill, _term) with the word each is looked up by and whether that word is all of it.
 
     Of several words the one that the fewest ``texts`` hold is taken; terms with a word that no
     text holds are left out, as they cannot occur.
     """
-    own = F.array_remove(F.array_distinct(F.split("_term", NO_WORD)), "")
-    terms = wanted.select("skill", "_term", own.alias("_own"), F.col("_term").rlike(f"^{WORD_CHAR}+$").alias("_lone"))
+    terms = wanted.select("skill", "_term", _own("_term").alias("_own"), F.col("_term").rlike(f"^{WORD_CHAR}+$").alias("_lone"))
     several = terms.where(F.size("_own") > 1)
-    simple = terms.where(F.size("_own") <= 1).select(
-        "skill", "_term", "_lone", F.coalesce(F.get("_own", F.lit(0)), F.lit("")).alias("_word")
-    )
+    simple = terms.where(F.size("_own") == 1).select("skill", "_term", "_lone", F.get("_own", F.lit(0)).alias("_word"))
     if several.isEmpty():
         return simple
     asked = several.select("skill", "_term", "_lone", F.size("_own").alias("_n"), F.explode("_own").alias("_word"))
-    lengths = asked.agg(F.collect_set(F.length("_word"))).first()[0]
     held = texts.select(F.explode(_words("_text", lengths)).alias("_word")).join(asked.select("_word").distinct(), "_word", "left_semi")
     counted = held.groupBy("_word").agg(F.count(F.lit(1)).alias("_texts"))
     rarest = F.min(F.struct("_texts", "_word")).alias("_rarest")
