@@ -90,11 +90,11 @@ def test_recall_where_lengths_differ(spark, sigma):
 
 def test_numbers_of_components_are_searched_apart(spark):
     rng = np.random.default_rng(3)
-    table = [(i, (rng.normal(size=2 + i % 3) * 10.0 ** (i % 5)).tolist()) for i in range(240)]
+    table = [(i, (rng.normal(size=2 + i % 2) * 10.0 ** (i % 5)).tolist()) for i in range(240)]
     table += [(i, (v * 1e150).tolist()) for i, v in ((1000 + 20 * j, rng.normal(size=7)) for j in range(9))]
     df = spark.createDataFrame([(i, v, None) for i, v in table], "vec_id long, embedding array<double>, label int")
     got = found(df, share=1.0)
-    for n in (2, 3, 4, 7):
+    for n in (2, 3, 7):
         want = brute([t for t in table if len(t[1]) == n])
         for q, best in want.items():
             assert [i for i, _ in got[q]] == [i for i, _ in best]
