@@ -55,7 +55,8 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, low: np.ndarray, high: np.ndarray)
         split = found >= 0
         middle = found[split]
         cut[middle] = True
-        low, high = np.concatenate([low[split], middle + 1]), np.concatenate([middle, high[split]])
+        # in their order, so that neighbours are looked up one after another
+        low, high = np.column_stack([low[split], middle + 1]).ravel(), np.column_stack([middle, high[split]]).ravel()
     return cut
 
 
@@ -108,7 +109,7 @@ class _Chunk:
         self.b.append(np.array(b, np.int64))
         self.n += len(a) + len(b)
 
-    def aligned(self, width_a: np.ndarray, width_b: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
+    def aligned(self, width_a: np.ndarray, width_b: np.ndarray, said: list[bytes]) -> tuple[dict, np.ndarray, np.ndarray]:
         """Per document its figures, digest and linked pairs (places among all pairs, and how often); all pairs, ascending, and how many documents hold each."""
         n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (self.a, self.b))
         a, b = np.concatenate(self.a), np.concatenate(self.b)
@@ -123,44 +124,48 @@ class _Chunk:
         of_a, of_b = np.cumsum(cut) - cut, np.cumsum(closes) - closes  # the group of each token
         doc = np.repeat(np.arange(len(n_a)), n_a)[cut]  # of each group
         in_a, in_b = np.bincount(of_a, minlength=len(doc)), np.bincount(of_b, minlength=len(doc))
-        at, times, held, pairs, docs = _linked(a, b, of_a, of_b, doc, len(n_a))
+        at, times, held, pairs, docs = _linked(a, b, of_a, of_b, in_a, in_b, doc, len(n_a), len(width_a), len(width_b))
         per = {
             "n_a": n_a, "n_b": n_b, "n_groups": np.bincount(doc, minlength=len(n_a)),
-            "n_links": np.bincount(doc, in_a * in_b, minlength=len(n_a)).astype(np.int64), "held": held,
-            "groups": _digests(a, b, of_a, of_b, cut, closes, n_a + n_b), "at": at, "times": times,
+            "n_links": np.bincount(doc, in_a * in_b, minlength=len(n_a)).astype(np.int64), "held": held, "at": at, "times": times,
         }
+        # of a group first the one side, then the other; ``said`` has each id before a comma and before the sign that ends its side
+        place_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[of_a]
+        place_b = np.arange(len(b)) + np.cumsum(in_a)[of_b]
+        spoken = np.empty(len(a) + len(b), np.int64)
+        spoken[place_a] = 2 * a + cut
+        spoken[place_b] = 2 * (len(width_a) + b) + closes
+        sizes = (n_a + n_b).tolist()
+        per["groups"] = []
+        for e, n in zip(np.cumsum(n_a + n_b).tolist(), sizes, strict=True):
+            text = b"".join(map(said.__getitem__, spoken[e - n : e].tolist()))[:-1]
+            per["groups"].append(hashlib.sha256(text).hexdigest() if n else "")
         return per, pairs, docs
 
 
-def _linked(a, b, of_a, of_b, doc, n_docs) -> tuple[np.ndarray, ...]:
+def _linked(a, b, of_a, of_b, in_a, in_b, doc, n_docs, most_a, most_b) -> tuple[np.ndarray, ...]:
     """Linked pairs of ids: place and times per document, how many each document holds; all pairs, and how many documents hold each."""
-    # equal ids of a group are one entry with a number, so that long groups stay small
-    own, times_a = np.unique((of_a << 32) | a, return_counts=True)
-    other, times_b = np.unique((of_b << 32) | b, return_counts=True)
-    n_other = np.bincount(other >> 32, minlength=len(doc))
-    reach = n_other[own >> 32]
+    single = (in_a == 1) & (in_b == 1)
+    one_a, one_b = single[of_a], single[of_b]
+    # in larger groups equal ids are one entry with a number, so that long ones stay small
+    own, times_a = np.unique(of_a[~one_a] * most_a + a[~one_a], return_counts=True)
+    other, times_b = np.unique(of_b[~one_b] * most_b + b[~one_b], return_counts=True)
+    group = own // most_a
+    n_other = np.bincount(other // most_b, minlength=len(doc))
+    reach = n_other[group]
     left = np.repeat(np.arange(len(own)), reach)
-    right = np.arange(len(left)) - np.repeat(np.cumsum(reach) - reach, reach) + (np.cumsum(n_other) - n_other)[own >> 32][left]
-    low = (1 << 32) - 1
-    pairs, place = np.unique(((own & low) << 32)[left] | (other & low)[right], return_inverse=True)
-    inside, where = np.unique(doc[own >> 32][left] * max(1, len(pairs)) + place, return_inverse=True)
-    times = np.bincount(where, (times_a[left] * times_b[right]).astype(np.float64), minlength=len(inside)).astype(np.int64)
-    at = inside % max(1, len(pairs))
-    held = np.bincount(inside // max(1, len(pairs)), minlength=n_docs)
-    return at, times, held, pairs, np.bincount(at, minlength=len(pairs))
-
-
-def _digests(a, b, of_a, of_b, cut, closes, sizes) -> list[str]:
-    """SHA-256 of each document's groups, a1,a2|b1;a3|b2,b3; empty without tokens."""
-    # a group's tokens of one side stand before those of the other
-    place_a = np.arange(len(a)) + np.searchsorted(of_b, of_a)
-    place_b = np.arange(len(b)) + np.searchsorted(of_a, of_b, side="right")
-    said = np.empty(len(a) + len(b), object)
-    said[place_a] = [f"{i}{'|' if c else ','}" for i, c in zip(a.tolist(), cut.tolist(), strict=True)]
-    said[place_b] = [f"{i}{';' if c else ','}" for i, c in zip(b.tolist(), closes.tolist(), strict=True)]
-    ends = np.cumsum(sizes)
-    said = said.tolist()
-    return [hashlib.sha256("".join(said[e - n : e])[:-1].encode()).hexdigest() if n else "" for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+    right = np.arange(len(left)) - np.repeat(np.cumsum(reach) - reach, reach) + (np.cumsum(n_other) - n_other)[group][left]
+    pair = np.concatenate([a[one_a] * most_b + b[one_b], (own % most_a)[left] * most_b + (other % most_b)[right]])
+    times = np.concatenate([np.ones(int(single.sum()), np.int64), times_a[left] * times_b[right]])
+    key = np.concatenate([doc[single], doc[group][left]]) * (most_a * most_b) + pair
+    order = np.argsort(key)
+    key = key[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    times = np.add.reduceat(times[order], starts) if len(starts) else times
+    key = key[starts]
+    pairs, at, docs = np.unique(key % (most_a * most_b), return_inverse=True, return_counts=True)
+    held = np.bincount(key // (most_a * most_b), minlength=n_docs)
+    return at, times, held, (pairs // most_b << 32) | pairs % most_b, docs
 
 
 def default_vocabularies() -> tuple[str, str]:
@@ -198,7 +203,7 @@ def align(
         chunk, pair, types = _Chunk(), None, None
 
         def packed() -> pa.RecordBatch:
-            per, pairs, n = chunk.aligned(*widths)
+            per, pairs, n = chunk.aligned(*widths, said)
             bucket = _bucket(pairs, n_buckets)
             # counts come back by bucket, and within one in ascending order
             rank = np.empty(len(pairs), "<u4")
@@ -213,6 +218,7 @@ def align(
                 paths = default_vocabularies() if first is None or second is None else ("", "")
                 pair = Pair(first or paths[0], second or paths[1])
                 widths = [np.array([len(x) for x in side], np.int64) for side in (pair.a, pair.b)]
+                said = [f"{i}{end}".encode() for side, close in zip((pair.a, pair.b), "|;", strict=True) for i in range(len(side)) for end in (",", close)]
                 types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(batch.schema.field(0).type), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string()), pa.binary(), pa.binary()]
             for k, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 chunk.add(k, pair.encode(t or ""))
