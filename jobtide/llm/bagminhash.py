@@ -10,10 +10,11 @@ the probability of their weighted Jaccard similarity.
 
 Equal word sequences are one node. Nodes that agree in a band of the signature are
 candidates. In each bucket all members are verified against one leader; that settles large
-groups of copies. Where that leaves several components in one bucket, further leaders
-follow, those with most links first. What then is still apart in a bucket, all members
-outside its largest component, is compared with all members of near sizes; both sides are
-dealt into blocks of bounded size, and only links come out, so that no candidate link between different components goes untested.
+groups of copies. What then is still apart in a bucket, all members outside its largest
+component, is compared with all members of near sizes; both sides are dealt into blocks of
+bounded size, and only links come out, so that no candidate link between different components
+goes untested. Before that further leaders may be tried (``rounds``), which spares comparisons
+in buckets of many large components for the price of a few more passes over the candidates.
 """
 
 from __future__ import annotations
@@ -226,7 +227,7 @@ def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text", rounds: int = 2) -> DataFrame:
+def classes(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text", rounds: int = 0) -> DataFrame:
     """(key, class_id, n_shingles) of each row of ``docs``; a class is a connected component of links of similarity ``least`` or more.
 
     class_id is the smallest key of the class. Null, empty and blank texts have no words:
@@ -251,7 +252,7 @@ def noded(docs: DataFrame, name: str, text: str = "text") -> DataFrame:
     return docs.mapInArrow(add, schema)
 
 
-def members(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text", rounds: int = 2) -> DataFrame:
+def members(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", text: str = "text", rounds: int = 0) -> DataFrame:
     """(key, node, n, label) of each row of ``docs``: the digest of its words, their number of shingles and the class, as in ``classes``."""
     rows = saved(signed(docs, key, text), "signed")
     nodes = saved(rows.groupBy("node").agg(F.min(key).alias(key), F.first("n").alias("n"), F.first("bands").alias("bands")), "nodes")
