@@ -200,13 +200,21 @@ def _dealt(split: DataFrame, texts: DataFrame, least: float, block: int = BLOCK,
     return tuple(df.select(*[F.col(c).alias(c) for c in columns]) for df in (asked, members))
 
 
-def _crossed(split: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) between members of different components of a bucket, found by pairs of blocks."""
+def _crossed(split: DataFrame, texts: DataFrame, least: float, spanning: bool = False) -> DataFrame:
+    """Links (a, b) between members of different components of a bucket, found by pairs of blocks: all, or as many of two blocks as tie their components together."""
     asked, members = _dealt(split, texts, least)
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         bags = [shingles(zlib.decompress(p)) for p in right["packed"].to_pylist()]
         nodes, labels = right["node"].to_pylist(), right["label"].to_pylist()
+        joined: dict[bytes, bytes] = {}
+
+        def root(x: bytes) -> bytes:
+            while (up := joined.get(x, x)) != x:
+                joined[x] = joined.get(up, up)
+                x = up
+            return x
+
         out = []
         if bags and left.num_rows:
             hashes, counts = (np.concatenate([b[i] for b in bags]) for i in (0, 1))
@@ -217,7 +225,12 @@ def _crossed(split: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 at = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
                 both = np.add.reduceat(np.where(own[at] == hashes, np.minimum(weights[at], counts), 0), starts)
                 near = both >= least * np.maximum(1, sizes + weights.sum() - both)
-                out += [(max(node, nodes[i]), min(node, nodes[i])) for i in np.flatnonzero(near) if labels[i] != label]
+                for i in np.flatnonzero(near):
+                    a, b = root(label), root(labels[i])
+                    if a != b:  # else they are tied together already
+                        if spanning:
+                            joined[a] = b
+                        out.append((max(node, nodes[i]), min(node, nodes[i])))
         return pa.table([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
     return asked.groupBy(*MEET).cogroup(members.groupBy(*MEET)).applyInArrow(compare, "a binary, b binary")
@@ -294,7 +307,7 @@ def members(docs: DataFrame, least: float = SIMILARITY, key: str = "doc_id", tex
     else:
         split = saved(_split(groups, labels), "split")
         if not split.isEmpty():
-            links = links.union(saved(_crossed(split, texts, least).distinct(), "links"))
+            links = links.union(saved(_crossed(split, texts, least, spanning=True).distinct(), "links"))
             labels = components(links)
     known = rows.select(key, "node", "n").join(labels.withColumnRenamed("node", "w"), F.col("node") == F.col("w"), "left")
     return known.select(key, "node", "n", F.coalesce("label", "node").alias("label"))
