@@ -75,8 +75,9 @@ def save_keyed_table(
 ) -> None:
     """Write a table bucketed by its key, so an upsert into it shuffles only the batch.
 
-    A bucket is one file and one task: take a number that keeps it near 1 GB. With a
-    ``path`` the files lie there, in place of what a failed attempt may have left.
+    A bucket is one file, and one task sorts its rows: take a number that keeps them near
+    128 MB in memory, of which the file may be a tenth. With a ``path`` the files lie there,
+    in place of what a failed attempt may have left.
     """
     writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
     if path:

@@ -195,6 +195,30 @@ def test_keyed_base_stays_in_place(spark, tmp_path):
     )
 
 
+def test_buckets_go_by_rows_not_by_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(st, "BUCKET_BYTES", 1 << 18)
+    landing, store = tmp_path / "landing", str(tmp_path / "store")
+    found, size = [], []
+    for number, n in enumerate((400, 1600)):
+        # long texts that all postings share: next to nothing in a file, 1,000 bytes in each row
+        some = [posting(str(k), "t", k + 1) | {"description": "d" * 1000} for k in range(n)]
+        path = land(landing, str(number), *some, posting("none", None))
+        process_batch(spark, path, store, number, processed_at=at())
+        assert st.compact(spark, store, "sized_postings") == number
+        base = spark.read.table(f"sized_postings_v{number}")
+        assert base.count() == n
+        files = [p.name for p in (tmp_path / f"store/base/upto={number}").glob("*.parquet")]
+        found.append(len(files))
+        size.append(sum(p.stat().st_size for p in (tmp_path / "store").rglob("*.parquet")))
+        held = base.groupBy(F.input_file_name()).agg(F.sum(F.octet_length("description")).alias("n"))
+        # hashes deal the keys, so a bucket may have somewhat more than its share
+        assert held.agg(F.max("n")).first()[0] <= 1.5 * st.BUCKET_BYTES
+    assert size[0] < st.BUCKET_BYTES and found[0] == 2 and found[1] >= 4 * found[0]
+    for number in range(2):
+        spark.sql(f"DROP TABLE sized_postings_v{number}")
+    assert current(spark, store) == sorted([(str(k), "t", k + 1) for k in range(1600)], key=repr)
+
+
 def test_unfinished_directories_are_not_read(spark, tmp_path):
     store = str(tmp_path / "store")
     path = land(tmp_path / "landing", "1", posting("1"))
