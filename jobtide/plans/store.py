@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobtide.operators.keyed import latest_per_key, replace_rows
+from jobtide.operators.keyed import latest_dealt, latest_per_key, replace_rows
 from jobtide.schema import KEY, TARGET
 from jobtide.sources.tables import clustered_write, save_keyed_table
 
@@ -198,6 +198,13 @@ def snapshot(spark: SparkSession, store: str, table: str | None = None, as_of: i
     """Postings as of the last complete batch, or of an earlier one that ``has_state``."""
     if as_of is not None and not has_state(spark, store, as_of):
         raise ValueError(f"batches after {as_of} are merged: the postings as of it are not kept")
+    return _merged(spark, store, table, as_of)
+
+
+def _merged(
+    spark: SparkSession, store: str, table: str | None, as_of: int | None = None, parts: int | None = None
+) -> DataFrame:
+    """Base and batches merged; the batches among themselves in so many parts by key, if given."""
     upto = latest_base(spark, store)
     if table and upto >= 0 and spark.catalog.tableExists(f"{table}_v{upto}"):
         base = spark.read.table(f"{table}_v{upto}").select(*TARGET.names)
@@ -208,7 +215,9 @@ def snapshot(spark: SparkSession, store: str, table: str | None = None, as_of: i
     good = _changes(spark, store, upto, as_of)
     if good is None:
         return base
-    newest = latest_per_key(good, KEY, arrival_order()).select(*TARGET.names)
+    order = arrival_order()
+    newest = latest_dealt(good, KEY, order, parts) if parts else latest_per_key(good, KEY, order)
+    newest = newest.select(*TARGET.names)
     if upto < 0:
         return newest
     return replace_rows(base, newest, good, KEY)
@@ -238,10 +247,10 @@ def merge_batches(spark: SparkSession, store: str) -> int:
     return number
 
 
-def _row_bytes() -> Column:
-    """About what a row of the target takes in a task that sorts it: words for its columns, and its texts."""
-    size = F.lit(8 * (len(TARGET) + 3))
-    for field in TARGET:
+def _row_bytes(schema: T.StructType) -> Column:
+    """About what a row takes in a task that sorts it: words for its columns, and its texts."""
+    size = F.lit(8 * (len(schema) + 3))
+    for field in schema:
         if isinstance(field.dataType, T.StringType):
             size = size + F.coalesce(F.octet_length(field.name) + 8, F.lit(0))
         elif isinstance(field.dataType, T.ArrayType):
@@ -259,7 +268,7 @@ def _held_bytes(spark: SparkSession, store: str) -> int:
     held = [_changes(spark, store, upto)]
     if upto >= 0:
         held.append(spark.read.schema(TARGET).parquet(base_path(store, upto)))
-    sums = [rows.agg(F.sum(_row_bytes())).first()[0] for rows in held if rows is not None]
+    sums = [rows.agg(F.sum(_row_bytes(rows.schema))).first()[0] for rows in held if rows is not None]
     return sum(s or 0 for s in sums)
 
 
@@ -276,13 +285,14 @@ def compact(
     upto = max(batch_numbers(spark, store), default=-1)
     if upto > latest_base(spark, store):
         # Overwriting only ever meets the remains of a compaction that failed.
-        merged, path = snapshot(spark, store, table), base_path(store, upto)
+        path = base_path(store, upto)
         if table:
             if buckets is None:
                 buckets = _held_bytes(spark, store) // BUCKET_BYTES + 1
+            merged = _merged(spark, store, table, parts=buckets)
             save_keyed_table(merged, f"{table}_v{upto}", KEY, buckets, path)
         else:
-            clustered_write(merged, path, mode="overwrite")
+            clustered_write(snapshot(spark, store), path, mode="overwrite")
         mark(spark, path)
     return upto
 

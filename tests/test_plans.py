@@ -4,10 +4,12 @@ import __spark_entry__ as entry
 import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
+from test_operators import rows
 from test_sources import plan
 
 from jobtide import operators as op
 from jobtide import sources as src
+from jobtide.operators.keyed import latest_dealt
 from jobtide.plans import store as st
 from jobtide.plans.batch import process_batch
 from jobtide.plans.catalog import QUERIES
@@ -93,6 +95,35 @@ def test_latest_per_key_limits_before_the_shuffle(spark):
     assert latest.count() == 20_001
 
 
+def test_latest_dealt_sorts_behind_a_shuffle(spark):
+    df = hot_items(spark)
+    latest = latest_dealt(df, "key", [F.desc("n")], 3)
+    text = plan(latest)
+    # what is read is dealt before it is sorted, and the tasks are as many as asked for
+    assert "Sort" not in text.rsplit("Exchange", 1)[1] and text.count("Exchange hashpartitioning") == 2
+    assert latest.columns == df.columns and latest.rdd.getNumPartitions() == 3
+    # saved in as many buckets it is not shuffled again
+    assert plan(latest.repartition(3, "key")).count("Exchange hashpartitioning") == 2
+    assert rows(latest) == rows(op.latest_per_key(df, "key", [F.desc("n")]))
+    # of the hot key one row per reading task comes to its last one
+    assert latest.where("key = 'hot'").collect() == [("hot", 29_997)]
+
+
+def test_a_keyed_base_is_merged_without_a_sort_of_what_is_read(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(st, "save_keyed_table", lambda df, *rest: written.append((plan(df), rows(df, "vacancy_id", "title"))))
+    store, line = str(tmp_path / "store"), '{"id": "%d", "name": "%s"}'
+    for number, n in enumerate((6, 9)):
+        (tmp_path / str(number)).write_text("\n".join(line % (k % n, f"t{number}") for k in range(20)))
+        process_batch(spark, str(tmp_path / str(number)), store, number)
+        assert st.compact(spark, store, "sorted_postings") == number
+        if not number:
+            (tmp_path / "store/base/upto=0/_COMPLETE").unlink()
+    for text, _ in written:
+        assert "Sort" not in text.rsplit("Exchange", 1)[1]
+    assert [r for _, r in written] == [[(str(k), f"t{i}") for k in range(n)] for i, n in enumerate((6, 9))]
+
+
 @pytest.mark.parametrize("unique", [True, False])
 def test_hot_item_is_split_between_tasks(spark, skewed, tmp_path, unique):
     items = hot_items(spark)
